@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mirrorwell.session import materialize, work_dir
+from mirrorwell.session import LoopState
 
 NODE = ("owner", "table_name")
 CHILD = ("child_owner", "child_table")
@@ -57,15 +57,15 @@ def edges_within(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def fk_closure(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+def fk_closure(edges: DataFrame, seeds: DataFrame, small: bool = False) -> DataFrame:
     """``seeds`` and all their direct and indirect parents.
 
     ``depth`` is the fewest foreign keys from a seed, 0 for the seeds themselves.
     """
-    folder = work_dir(edges.sparkSession, "closure")
-    edges = materialize(_proper(edges), f"{folder}/edges")
+    state = LoopState(edges.sparkSession, "closure", small)
     first = seeds.select(*NODE).distinct().withColumn("depth", F.lit(0))
-    found = [materialize(first, f"{folder}/depth=0")]
+    edges, first = state.inputs(_proper(edges), first)
+    found = [first]
     while True:
         reached = reduce(DataFrame.unionByName, found)
         step = (
@@ -75,16 +75,17 @@ def fk_closure(edges: DataFrame, seeds: DataFrame) -> DataFrame:
             .join(reached, list(NODE), "left_anti")
             .withColumn("depth", F.lit(len(found)))
         )
-        step = materialize(step, f"{folder}/depth={len(found)}")
+        step = state.keep(step)
         if step.isEmpty():
             return reached
         found.append(step)
 
 
-def fk_levels(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+def fk_levels(edges: DataFrame, nodes: DataFrame, small: bool = False) -> DataFrame:
     """``(owner, table_name, level)``: 0 without parents, else one more than the
     highest parent. ``level`` is NULL for tables on a cycle or depending on one."""
-    placed, stuck = _peel(edges, work_dir(edges.sparkSession, "levels"))
+    state = LoopState(edges.sparkSession, "levels", small)
+    placed, stuck = _peel(edges, state)
     deepest = reduce(
         DataFrame.unionByName,
         [
@@ -110,10 +111,11 @@ def fk_levels(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def load_order(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+def load_order(edges: DataFrame, nodes: DataFrame, small: bool = False) -> DataFrame:
     """Parents first; equal levels by name. Raises ``CycleError`` if there is a
     cycle, naming tables that cannot be placed."""
-    levels = materialize(fk_levels(edges, nodes), work_dir(edges.sparkSession, "order"))
+    levels = fk_levels(edges, nodes, small)
+    [levels] = LoopState(edges.sparkSession, "order", small).inputs(levels)
     stuck = levels.where(F.col("level").isNull())
     names = stuck.orderBy(*NODE).limit(20).collect()
     if names:
@@ -131,11 +133,11 @@ def fk_cycles(edges: DataFrame) -> DataFrame:
     """Tables that cannot be ordered, ``on_cycle`` telling those on a cycle from
     those that only depend on one. Foreign keys of a table to itself do not count.
     """
-    folder = work_dir(edges.sparkSession, "cycles")
-    _, stuck = _peel(edges, f"{folder}/down")
+    state = LoopState(edges.sparkSession, "cycles")
+    _, stuck = _peel(edges, state)
     if stuck is None:
         return _children(edges).limit(0).withColumn("on_cycle", F.lit(True))
-    on_cycle = _on_cycle(stuck, folder)
+    on_cycle = _on_cycle(stuck, state)
     return (
         _children(stuck)
         .join(on_cycle.withColumn("_on", F.lit(True)), list(NODE), "left")
@@ -161,15 +163,15 @@ def _children(edges: DataFrame) -> DataFrame:
     return _end(edges, CHILD)
 
 
-def _shrink(edges: DataFrame, keep, folder: str) -> tuple[list[DataFrame], DataFrame | None]:
+def _shrink(edges: DataFrame, keep, state: LoopState) -> tuple[list[DataFrame], DataFrame | None]:
     """Apply ``keep`` until no edge is left or none is removed.
 
     Returns the edges before each round, and the stable rest if there is one.
     """
-    rounds = [materialize(edges, f"{folder}/round=0")]
+    rounds = [edges]
     size = rounds[0].count()
     while size:
-        following = materialize(keep(rounds[-1]), f"{folder}/round={len(rounds)}")
+        following = state.keep(keep(rounds[-1]))
         left = following.count()
         if left == size:
             return rounds, following
@@ -178,30 +180,29 @@ def _shrink(edges: DataFrame, keep, folder: str) -> tuple[list[DataFrame], DataF
     return rounds, None
 
 
-def _peel(edges: DataFrame, folder: str) -> tuple[list[DataFrame], DataFrame | None]:
+def _peel(edges: DataFrame, state: LoopState) -> tuple[list[DataFrame], DataFrame | None]:
     """Round by round keep the edges whose parent is itself a child.
 
     A table that is a child in round r has level r + 1 at least.
     """
+    [proper] = state.inputs(_proper(edges))
     return _shrink(
-        _proper(edges),
-        lambda e: e.join(_as(_children(e), PARENT), list(PARENT), "left_semi"),
-        folder,
+        proper, lambda e: e.join(_as(_children(e), PARENT), list(PARENT), "left_semi"), state
     )
 
 
-def _trim(edges: DataFrame, folder: str) -> DataFrame | None:
+def _trim(edges: DataFrame, state: LoopState) -> DataFrame | None:
     """Drop, again and again, tables without a parent or without a child."""
     return _shrink(
         edges,
         lambda e: e.join(_as(_children(e), PARENT), list(PARENT), "left_semi").join(
             _as(_end(e, PARENT), CHILD), list(CHILD), "left_semi"
         ),
-        folder,
+        state,
     )[1]
 
 
-def _on_cycle(edges: DataFrame, folder: str) -> DataFrame:
+def _on_cycle(edges: DataFrame, state: LoopState) -> DataFrame:
     """Tables in a strongly connected component of two tables or more.
 
     Each turn gives every table the greatest name that reaches it, its colour. The
@@ -209,44 +210,38 @@ def _on_cycle(edges: DataFrame, folder: str) -> DataFrame:
     are set aside and the rest goes into the next turn.
     """
     found: list[DataFrame] = []
-    turn = 0
-    rest = _trim(edges, f"{folder}/trim0")
+    rest = _trim(edges, state)
     while rest is not None:
-        here = f"{folder}/turn{turn}"
-        colours = _colour(rest, here)
-        component = _component(rest, colours, here)
+        colours = _colour(rest, state)
+        component = _component(rest, colours, state)
         grouped = component.groupBy("colour").agg(F.count(F.lit(1)).alias("tables"))
         several = grouped.where(F.col("tables") > 1).select("colour")
         found.append(component.join(several, "colour", "left_semi").select(*NODE))
-        open_edges = rest.join(_as(component, CHILD), list(CHILD), "left_anti").join(
+        apart = rest.join(_as(component, CHILD), list(CHILD), "left_anti").join(
             _as(component, PARENT), list(PARENT), "left_anti"
         )
-        turn += 1
-        rest = _trim(open_edges, f"{folder}/trim{turn}")
+        rest = _trim(state.keep(apart), state)
     if not found:
         return _children(edges).limit(0)
     return reduce(DataFrame.unionByName, found)
 
 
-def _colour(edges: DataFrame, folder: str) -> DataFrame:
+def _colour(edges: DataFrame, state: LoopState) -> DataFrame:
     name = F.struct(*NODE)
     nodes = _children(edges).union(_end(edges, PARENT)).distinct()
-    now = materialize(nodes.select(*NODE, name.alias("colour")), f"{folder}/colour0")
-    turn = 0
+    now = state.keep(nodes.select(*NODE, name.alias("colour")))
     while True:
         offered = (
             edges.join(now.withColumnsRenamed(dict(zip(NODE, PARENT))), list(PARENT))
             .groupBy(*[F.col(c).alias(n) for c, n in zip(CHILD, NODE)])
             .agg(F.max("colour").alias("offer"))
         )
-        turn += 1
-        following = materialize(
+        following = state.keep(
             now.join(offered, list(NODE), "left").select(
                 *NODE,
                 F.greatest("colour", F.coalesce("offer", "colour")).alias("colour"),
                 (F.col("offer") > F.col("colour")).alias("changed"),
-            ),
-            f"{folder}/colour{turn}",
+            )
         )
         done = following.where("changed").isEmpty()
         now = following.drop("changed")
@@ -254,18 +249,17 @@ def _colour(edges: DataFrame, folder: str) -> DataFrame:
             return now
 
 
-def _component(edges: DataFrame, colours: DataFrame, folder: str) -> DataFrame:
+def _component(edges: DataFrame, colours: DataFrame, state: LoopState) -> DataFrame:
     child = colours.withColumnsRenamed({**dict(zip(NODE, CHILD)), "colour": "child_colour"})
     parent = colours.withColumnsRenamed(dict(zip(NODE, PARENT)))
-    inner = materialize(
+    inner = state.keep(
         edges.join(child, list(CHILD))
         .join(parent, list(PARENT))
         .where(F.col("colour") == F.col("child_colour"))
-        .select(*CHILD, *PARENT, "colour"),
-        f"{folder}/inner",
+        .select(*CHILD, *PARENT, "colour")
     )
     roots = colours.where(F.struct(*NODE) == F.col("colour"))
-    found = [materialize(roots, f"{folder}/back0")]
+    found = [state.keep(roots)]
     while True:
         reached = reduce(DataFrame.unionByName, found)
         step = (
@@ -274,7 +268,7 @@ def _component(edges: DataFrame, colours: DataFrame, folder: str) -> DataFrame:
             .distinct()
             .join(reached, list(NODE), "left_anti")
         )
-        step = materialize(step, f"{folder}/back{len(found)}")
+        step = state.keep(step)
         if step.isEmpty():
             return reached
         found.append(step)

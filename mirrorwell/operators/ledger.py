@@ -134,6 +134,10 @@ class Ledger:
         rows = current_jobs(mine).collect()
         return rows[0] if rows else None
 
+    def status(self, job_id: str) -> str | None:
+        mine = self.job_events().where(F.col("job_id") == job_id)
+        return mine.agg(last_set("status")).first().status
+
     def tables(self, job_id: str) -> DataFrame:
         mine = self.table_events().where(F.col("job_id") == job_id)
         return current_tables(mine).orderBy("ordinal", "table_name")

@@ -8,6 +8,7 @@ line of facts per table.
 
 from __future__ import annotations
 
+import json
 import time
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -29,7 +30,7 @@ from mirrorwell.operators.orphans import ForeignKey, check_foreign_keys, orphan_
 from mirrorwell.operators.project import check_writable, project_to_target
 from mirrorwell.operators.publish import Target
 from mirrorwell.operators.strategy import REFUSED, with_strategy
-from mirrorwell.session import facts_frame, work_dir
+from mirrorwell.session import SMALL_STATE, facts_frame, work_dir
 from mirrorwell.sources.base import Source, SnapshotTooOld, present
 from mirrorwell.sources.files import Snapshot
 
@@ -99,6 +100,8 @@ class Plan:
     snapshot: Snapshot | None
     constraints: list
     recorded: bool
+    entries: dict = field(default_factory=dict)
+    _sources: dict[str, DataFrame] = field(default_factory=dict)
 
     @property
     def tables(self) -> DataFrame:
@@ -109,22 +112,27 @@ class Plan:
         return [r.table_name for r in self.rows if r.status != "skipped"]
 
     def read_source(self, table: str) -> DataFrame:
+        if table not in self._sources:
+            self._sources[table] = self._read_source(table)
+        return self._sources[table]
+
+    def _read_source(self, table: str) -> DataFrame:
         if self.snapshot is None:
             return self.source.read(self.spark, table)
         kind = getattr(self.source, "format", "parquet")
         return self.snapshot.read(table, kind, **getattr(self.source, "options", {}))
 
-    def shape(self, table: str, entry=None) -> T.StructType:
+    def shape(self, table: str) -> T.StructType:
         """The schema the target will have: its own, or the source's if there is
         no target yet or it is to be re-created."""
-        entry = entry or self.target.entry(table)
+        entry = self.entries.get(table)
         if entry is None or self.config.recreate_tables:
             return self.read_source(table).schema
-        return self.target.read(table, entry).schema
+        return T.StructType.fromJson(json.loads(entry.schema_json))
 
-    def projected(self, table: str, entry=None) -> DataFrame:
+    def projected(self, table: str) -> DataFrame:
         defaults = self.config.defaults.get(table)
-        return project_to_target(self.read_source(table), self.shape(table, entry), defaults)
+        return project_to_target(self.read_source(table), self.shape(table), defaults)
 
     def primary_key(self, table: str) -> tuple[str, ...]:
         for c in self.constraints:
@@ -178,7 +186,7 @@ def plan_refresh(
     """
     job_id = new_job_id()
     target = Target(spark, target_root)
-    declared = _declared(spark, constraints, config.source_schema)
+    declared = _declared(spark, constraints, config.source_schema).collect()
     order = _order(spark, declared, config)
     names = [r.table_name for r in order]
     here = present(source, spark, names)
@@ -192,13 +200,13 @@ def plan_refresh(
             snapshot = Snapshot.capture(source, spark, here, path)
 
     plan = Plan(
-        spark, job_id, config, source, target, [], snapshot, declared.collect(), record
+        spark, job_id, config, source, target, [], snapshot, declared, record,
+        target.entries(),
     )
     frames = {t: plan.read_source(t) for t in here}
-    entries = target.entries()
     for table in here:
         check_writable(table, frames[table].schema)
-        plan.projected(table, entries.get(table))
+        plan.projected(table)
     facts = {}
     if here:
         profiles = table_profiles(spark, frames, snapshot.sizes if snapshot else None)
@@ -232,17 +240,18 @@ def _declared(spark: SparkSession, constraints: DataFrame | None, owner: str) ->
     ).where(F.col("owner") == owner)
 
 
-def _order(spark: SparkSession, declared: DataFrame, config: RefreshConfig) -> list:
+def _order(spark: SparkSession, declared: list, config: RefreshConfig) -> list:
+    small = len(declared) + len(config.tables) <= SMALL_STATE
     seeds = facts_frame(spark, [(config.source_schema, t) for t in config.tables], _NODES)
-    edges = graph.fk_edges(declared)
-    nodes = graph.fk_closure(edges, seeds) if config.auto_include_fk_parents else seeds
-    return graph.load_order(graph.edges_within(edges, nodes), nodes).collect()
+    edges = graph.fk_edges(facts_frame(spark, [r.asDict() for r in declared], CONSTRAINTS))
+    nodes = graph.fk_closure(edges, seeds, small) if config.auto_include_fk_parents else seeds
+    return graph.load_order(graph.edges_within(edges, nodes), nodes, small).collect()
 
 
 def _record_plan(plan: Plan) -> None:
     root = plan.target.root
     plan.tables.coalesce(1).write.parquet(f"{root}/plans/{plan.job_id}/tables")
-    declared = facts_frame(plan.spark, plan.constraints, CONSTRAINTS)
+    declared = facts_frame(plan.spark, [r.asDict() for r in plan.constraints], CONSTRAINTS)
     declared.coalesce(1).write.parquet(f"{root}/plans/{plan.job_id}/constraints")
     book = plan.ledger()
     book.record_job(
@@ -281,6 +290,7 @@ def load_plan(spark: SparkSession, source: Source, target_root: str, job_id: str
         Snapshot(spark, job.snapshot_id) if job.snapshot_id else None,
         spark.read.parquet(f"{folder}/constraints").collect(),
         True,
+        target.entries(),
     )
 
 
@@ -387,7 +397,7 @@ class _Run:
         self.strategies = strategies
         self.cancelled = False
         self.check_cancelled = check_cancelled
-        self.entries = plan.target.entries()
+        self.entries = plan.entries
         self.results: dict[str, dict] = {}
         self.waiting: list[tuple] = []
         self.kept = set()
@@ -454,8 +464,7 @@ class _Run:
     def _poll_ledger(self) -> None:
         if self.cancelled or self.check_cancelled is not None or not self.plan.recorded:
             return
-        job = self.plan.ledger().job(self.plan.job_id)
-        self.cancelled = job is not None and job.status == "CANCELLED"
+        self.cancelled = self.plan.ledger().status(self.plan.job_id) == "CANCELLED"
 
     def _load_one(self, row):
         if not self.cancelled and self.check_cancelled is not None and self.check_cancelled():
@@ -467,7 +476,7 @@ class _Run:
         strategy = self.strategies.get(table, row.strategy)
         started = time.monotonic()
         try:
-            frame = plan.projected(table, self.entries.get(table))
+            frame = plan.projected(table)
             shape = frame.schema
             observation = None
             if plan.config.verify == "hash" or plan.snapshot is None:
@@ -520,7 +529,7 @@ class _Run:
                     checked[r.table_name] = {"rows_source": r.rows, "rows_target": r.rows, "match": True}
         rest = [t for t in written if t not in checked]
         if rest:
-            source = {t: plan.projected(t, self.entries.get(t)) for t in rest}
+            source = {t: plan.projected(t) for t in rest}
             compared = compare(plan, source, {t: written[t] for t in rest}, mode)
             checked |= {r.table_name: r.asDict() for r in compared.collect()}
         if plan.snapshot is not None:
@@ -532,22 +541,25 @@ class _Run:
         for table, *_ in versions:
             self.results[table]["published"] = True
 
-    def _published_frames(self) -> dict[str, DataFrame]:
+    def _published_frames(self, tables: set[str]) -> dict[str, DataFrame]:
         entries = self.plan.target.entries()
-        return {t: self.plan.target.read(t, e) for t, e in entries.items()}
+        return {t: self.plan.target.read(t, e) for t, e in entries.items() if t in tables}
 
     def check_keys(self) -> tuple[DataFrame, list[str]]:
         plan = self.plan
         done = [t for t, r in self.results.items() if r["published"]]
-        frames = self._published_frames()
-        keys = [k for k in plan.foreign_keys(done) if k.parent in frames]
+        keys = plan.foreign_keys(done)
+        frames = self._published_frames({t for k in keys for t in (k.child, k.parent)})
+        keys = [k for k in keys if k.parent in frames]
         none = facts_frame(self.spark, [], FK_RESULT)
         if not keys:
             return none, []
         rows = check_foreign_keys(keys, frames).collect()
         errors = []
-        for key, row in zip(keys, sorted(rows, key=lambda r: [k.name for k in keys].index(r.constraint_name))):
+        by_name = {(k.child, k.name): k for k in keys}
+        for row in rows:
             if not row.valid:
+                key = by_name[row.child_table, row.constraint_name]
                 missing = orphan_keys(frames[key.child], key.columns, frames[key.parent], key.parent_columns)
                 shown = [tuple(m)[:-1] for m in missing.limit(3).collect()]
                 errors.append(f"{key.name}: {row.orphan_rows} orphan rows, e.g. {shown}")
@@ -557,7 +569,7 @@ class _Run:
         wanted = [c for c in columns if self.results.get(c[0], {}).get("published")]
         if not wanted:
             return None
-        marks = ids.high_water_marks(self._published_frames(), wanted)
+        marks = ids.high_water_marks(self._published_frames({c[0] for c in wanted}), wanted)
         rows = marks.collect()
         for mark in rows:
             self.results[mark.table_name]["sequences_reset"].append(mark.sequence_name)
@@ -609,7 +621,7 @@ def verify_job(
     tables = [t for t in plan.loadable if t not in skipped]
     if plan.snapshot is not None:
         plan.snapshot.check(tables)
-    entries = plan.target.entries()
+    entries = plan.entries
     published = [t for t in tables if t in entries]
     # the published shape, also after a re-creation
     left = {

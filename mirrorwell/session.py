@@ -56,6 +56,40 @@ def facts_frame(spark: SparkSession, rows: Sequence, schema: T.StructType) -> Da
     return spark.createDataFrame(table, schema)
 
 
+# Loop states of up to this many rows, counted first, stay a local relation.
+SMALL_STATE = 10_000
+
+
+class LoopState:
+    """Keeps what a loop of joins hands from one round to the next.
+
+    Every state is written, so no round depends on the executors of an earlier one.
+    Only if all inputs were counted to be small do the states, which cannot outgrow
+    them, stay local relations: a foreign-key catalogue of a few dozen rows is not
+    worth a write per round.
+    """
+
+    def __init__(self, spark: SparkSession, label: str, small: bool = False):
+        """``small`` tells that the inputs are known to be small."""
+        self.spark = spark
+        self.folder = work_dir(spark, label)
+        self.small = small
+        self.kept = 0
+
+    def inputs(self, *frames: DataFrame) -> list[DataFrame]:
+        if self.small:
+            return [self.keep(df) for df in frames]
+        written = [self.keep(df) for df in frames]
+        self.small = all(df.count() <= SMALL_STATE for df in written)
+        return [self.keep(df) for df in written] if self.small else written
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        if self.small:
+            return facts_frame(self.spark, [r.asDict() for r in df.collect()], df.schema)
+        self.kept += 1
+        return materialize(df, f"{self.folder}/{self.kept}")
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
 

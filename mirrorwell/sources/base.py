@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from typing import Protocol
+from typing import Protocol, runtime_checkable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +31,17 @@ class Source(Protocol):
     def describe(self) -> str: ...
 
 
+@runtime_checkable
+class HasExists(Protocol):
+    """A source with a cheaper test than reading the schema."""
+
+    def exists(self, spark: SparkSession, table: str) -> bool: ...
+
+
 def table_exists(source: Source, spark: SparkSession, table: str) -> bool:
     try:
+        if isinstance(source, HasExists):
+            return source.exists(spark, table)
         source.read(spark, table).schema
     except AnalysisException as error:
         if error.getCondition() in _ABSENT:

@@ -28,6 +28,9 @@ class CatalogSource:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.options(**self.as_of).table(f"{self.database}.{table}")
 
+    def exists(self, spark: SparkSession, table: str) -> bool:
+        return spark.catalog.tableExists(f"{self.database}.{table}")
+
     def location(self, spark: SparkSession, table: str) -> str:
         facts = {
             r.col_name: r.data_type

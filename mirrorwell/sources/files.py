@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mirrorwell.session import facts_frame, materialize
+from mirrorwell.session import facts_frame, materialize, path_exists
 from mirrorwell.sources.base import SnapshotTooOld, Source
 
 # Up to this many files a pinned read names them one by one; beyond it the same
@@ -52,6 +52,9 @@ class FileSource:
         reader = spark.read.format(self.format).options(**self.options)
         return reader.load(self.location(spark, table))
 
+    def exists(self, spark: SparkSession, table: str) -> bool:
+        return path_exists(spark, self.location(spark, table))
+
     def describe(self) -> str:
         return self.root
 
@@ -139,7 +142,7 @@ class Snapshot:
             live = reader.load(entry.root).withColumn("_uri", F.col("_metadata.file_path"))
             keep = mine.select(F.col("file_uri").alias("_uri"))
             return live.join(keep, "_uri", "left_semi").drop("_uri")
-        paths = [r.path for r in mine.select("path").collect()]
+        paths = self._paths(table)
         if paths != [entry.root]:  # a folder: keep its partition columns
             reader = reader.option("basePath", entry.root)
         try:
@@ -149,28 +152,28 @@ class Snapshot:
                 raise SnapshotTooOld(f"{table}: a pinned file is gone") from error
             raise
 
+    def _paths(self, table: str) -> list[str]:
+        """Read for all tables at once when there are few files in all."""
+        if sum(files for files, _, _ in self.sizes.values()) > MAX_NAMED_FILES:
+            mine = self.pins.where(F.col("table_name") == table)
+            return [r.path for r in mine.select("path").collect()]
+        if not hasattr(self, "_by_table"):
+            self._by_table: dict[str, list[str]] = {}
+            for r in self.pins.select("table_name", "path").collect():
+                self._by_table.setdefault(r.table_name, []).append(r.path)
+        return self._by_table[table]
+
     def changed_files(self, tables: Iterable[str] | None = None) -> DataFrame:
         """Pinned files that are gone or differ from what is there now."""
         wanted = list(tables if tables is not None else self.tables)
         pins = self.pins.where(F.col("table_name").isin(wanted))
         roots = {t: self.tables[t].root for t in wanted}
-        try:
-            now = list_files(self.spark, roots)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return pins.where(F.col("table_name").isin(self._gone(roots)))
+        gone = [t for t, root in roots.items() if not path_exists(self.spark, root)]
+        if gone:
+            return pins.where(F.col("table_name").isin(gone))
+        now = list_files(self.spark, roots)
         return pins.join(now, ["table_name", "path", "length", "modified_at"], "left_anti")
 
-    def _gone(self, roots: dict[str, str]) -> list[str]:
-        missing = []
-        for table, root in roots.items():
-            try:
-                list_files(self.spark, {table: root})
-            except AnalysisException:
-                missing.append(table)
-        return missing
-
     def check(self, tables: Iterable[str] | None = None) -> None:
         """Raise unless every pinned file is still what it was."""
         bad = self.changed_files(tables).select("table_name", "path").limit(5).collect()
