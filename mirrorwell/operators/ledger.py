@@ -90,6 +90,20 @@ def current_tables(events: DataFrame, fields: Sequence[str] = TABLE_FIELDS) -> D
     return events.groupBy("job_id", "table_name").agg(*[last_set(f) for f in fields], *_times(over))
 
 
+# The part of a stored configuration that listings show.
+CONFIG_FIELDS = (
+    "source_schema string, target_schema string, tables array<string>, commit_mode string, "
+    "strategy string, verify string"
+)
+
+
+def with_config(jobs: DataFrame) -> DataFrame:
+    """Jobs with the fields of their stored configuration."""
+    read = F.from_json("config_json", CONFIG_FIELDS)
+    kept = [c for c in jobs.columns if c not in ("config_json", "source_schema", "target_schema")]
+    return jobs.select(*kept, read.alias("_config")).select(*kept, "_config.*")
+
+
 def newest_jobs(jobs: DataFrame, limit: int = 100) -> DataFrame:
     return jobs.orderBy(F.desc("created_at"), F.desc("job_id")).limit(limit)
 

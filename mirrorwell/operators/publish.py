@@ -9,7 +9,7 @@ good if a check fails, readers keep the version they had. One writer per target.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,13 +106,18 @@ class Target:
         ]
         append_log(self.spark, f"{self.root}/manifest", rows, MANIFEST, ["published_at"])
 
-    def create_like(self, table: str, schema: T.StructType, job_id: str) -> None:
-        """Publish an empty table of the given shape unless there is one."""
-        if self.entry(table) is not None:
-            return
-        path = self.version_path(table, job_id)
-        facts_frame(self.spark, [], schema).coalesce(1).write.mode("overwrite").parquet(path)
-        self.publish(job_id, [(table, path, 0, schema)])
+    def create_missing(self, shapes: Mapping[str, T.StructType], job_id: str) -> list[str]:
+        """Publish an empty table for every shape that has no table yet; the names
+        of those created."""
+        known = self.entries()
+        created = []
+        for table, schema in shapes.items():
+            if table not in known:
+                path = self.version_path(table, job_id)
+                facts_frame(self.spark, [], schema).coalesce(1).write.mode("overwrite").parquet(path)
+                created.append((table, path, 0, schema))
+        self.publish(job_id, created)
+        return [table for table, *_ in created]
 
     def discard(self, table: str, job_id: str) -> bool:
         """Remove a version that was never published. Best effort."""

@@ -184,6 +184,21 @@ def job_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def job_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job per event, planned with a configuration stored as JSON."""
+    mode = F.when(F.col("value") > 50, "per_table").otherwise("defer_insert_commits")
+    config = F.struct(
+        F.upper("event_type").alias("source_schema"),
+        mode.alias("commit_mode"),
+        F.array(F.lit("ORDERS"), _named("T_", "user_id")).alias("tables"),
+    )
+    return table(spark, sf_dir, "events").select(
+        _named("j_", "user_id").alias("job_id"),
+        F.col("event_id").alias("seq"),
+        F.to_json(config).alias("config_json"),
+    )
+
+
 def table_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for tables of a job; the number in ``props`` names the table."""
     kind = F.col("event_type")

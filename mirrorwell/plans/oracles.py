@@ -342,6 +342,16 @@ SELECT count(*) AS tables,
        bool_or(rows_source <> rows_target) AS any_failed,
        bool_and(rows_source = rows_target) AS all_match
 FROM r""",
+    "result_states": f"""
+SELECT table_name, CASE WHEN rows_source <> rows_target THEN 'FAILED' WHEN rows_source < 100 THEN 'SKIPPED'
+       WHEN table_name > 'p' THEN 'CANCELLED' ELSE 'DONE' END AS state
+FROM ({_COMPARE_ROWS})""",
+    "schema_remap": f"""
+WITH {_TENANTS}
+SELECT owner || '.' || table_name AS name,
+       CASE WHEN owner = 'SHARED' THEN 'COMMON' ELSE owner END || '.' || table_name AS mapped
+FROM tables""",
+    "table_list_split": f"WITH {_TENANTS} SELECT o_custkey, 'ORDERS_' || month AS table_name FROM months",
     "trigger_sequences": f"WITH {_TRIGGERS} SELECT * FROM found",
     "id_columns": f"WITH {_TENANTS}, {_TRIGGERS} SELECT owner, table_name, 'ID' AS column_name, "
     "table_name || '_SEQ' AS sequence_name FROM tables UNION SELECT * FROM found",
@@ -395,6 +405,11 @@ jobs AS (SELECT job_id, arg_max(created_at, seq) FILTER (WHERE created_at IS NOT
          FROM ev GROUP BY job_id)
 SELECT j.job_id, j.created_at, l.status FROM jobs j LEFT JOIN last_status l USING (job_id)
 WHERE created_at IS NOT NULL ORDER BY created_at DESC, job_id DESC LIMIT 20""",
+    "ledger_config": """
+SELECT 'j_' || user_id AS job_id, event_id AS seq, upper(event_type) AS source_schema,
+       CASE WHEN value > 50 THEN 'per_table' ELSE 'defer_insert_commits' END AS commit_mode,
+       'ORDERS,T_' || user_id AS tables
+FROM events""",
     "ledger_drop": f"""
 WITH {_JOB_EVENTS}
 SELECT job_id, table_name, seq, status FROM ev

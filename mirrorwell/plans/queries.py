@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from mirrorwell.config import STRATEGIES, RefreshConfig
 from mirrorwell.functions.hashing import portable_row_hash
+from mirrorwell.functions.names import remap_schema, split_table_list
 from mirrorwell.operators import catalog, graph, ids, ledger, verify
 from mirrorwell.operators.load import (
     CHUNK,
@@ -169,8 +170,7 @@ def create_like(spark, sf_dir):
     """Empty clones of all tables, beside what their sources hold."""
     frames = all_tables(spark, sf_dir)
     target = Target(spark, work_dir(spark, "clones"))
-    for name, df in frames.items():
-        target.create_like(name, df.schema, "v1")
+    target.create_missing({t: df.schema for t, df in frames.items()}, "v1")
     entries = target.entries()
     clones = {t: target.read(t, entries[t]) for t in frames}
     cloned = catalog.column_counts(clones).withColumnRenamed("filled", "filled_clone")
@@ -447,6 +447,42 @@ def run_outcome(spark, sf_dir):
     return found.withColumn("failed_tables", F.array_join("failed_tables", ","))
 
 
+@query
+def result_states(spark, sf_dir):
+    """Ledger states for the results of a run."""
+    frames = all_tables(spark, sf_dir)
+    compared = verify.compare_rows(frames, _losses(frames))
+    result = (
+        F.when(~F.col("match"), "failed")
+        .when(F.col("rows_source") < 100, "skipped")
+        .when(F.col("table_name") > "p", "cancelled")
+        .otherwise("ok")
+    )
+    return compared.select("table_name", ledger.ledger_status(result).alias("state"))
+
+
+# Names
+
+
+@query
+def schema_remap(spark, sf_dir):
+    """Qualified names of all tenants' tables, one schema renamed."""
+    tables = derived.tables_of(derived.tenant_constraints(spark, sf_dir))
+    name = F.concat_ws(".", "owner", "table_name")
+    return tables.select(name.alias("name"), remap_schema(name, "SHARED", "COMMON").alias("mapped"))
+
+
+@query
+def table_list_split(spark, sf_dir):
+    """Comma-separated lists of tables, one per tenant, taken apart."""
+    lists = (
+        derived.tenant_months(spark, sf_dir)
+        .groupBy("o_custkey")
+        .agg(F.array_join(F.collect_list(F.concat(F.lit(" orders_"), "month")), " ,, ").alias("list"))
+    )
+    return lists.select("o_custkey", F.explode(split_table_list("list")).alias("table_name"))
+
+
 # Ids
 
 
@@ -524,6 +560,15 @@ def ledger_top_jobs(spark, sf_dir):
     return ledger.newest_jobs(planned, 20).select("job_id", "created_at", "status")
 
 
+@query
+def ledger_config(spark, sf_dir):
+    """The configuration each job was planned with, read back from its JSON."""
+    plans = derived.job_configs(spark, sf_dir)
+    return ledger.with_config(plans).select(
+        "job_id", "seq", "source_schema", "commit_mode", F.array_join("tables", ",").alias("tables")
+    )
+
+
 @query
 def ledger_drop(spark, sf_dir):
     """Events that stay when jobs that failed last are dropped."""
