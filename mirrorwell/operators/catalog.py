@@ -100,11 +100,13 @@ def table_profiles(
     frames: Mapping[str, DataFrame],
     sizes: Mapping[str, tuple[int, int, int]] | None = None,
     partitioned: Iterable[str] = (),
+    counted: Mapping[str, DataFrame] | None = None,
 ) -> DataFrame:
     """``table_name, rows, files, size_mb, splits, partitioned, wide, refused``.
 
     Sizes come from the pinned file listing, rows from the files' footers; no
-    column is read. Unknown sizes are NULL and count as 0 for the choice.
+    column is read. Unknown sizes count as 0 for the choice. ``counted`` gives frames
+    with a ready ``rows`` value for tables that are better counted elsewhere.
     """
     sizes, partitioned = sizes or {}, set(partitioned)
     facts = []
@@ -112,16 +114,17 @@ def table_profiles(
         files, length, splits = sizes.get(table, (0, 0, 0))
         wide, refused = shape_flags(df.schema)
         facts.append((table, files, length / 1048576, splits, table in partitioned, wide, refused))
-    counts = reduce(
-        DataFrame.unionByName,
-        [
-            df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "rows")
-            for t, df in frames.items()
-        ],
-    )
+    counts = {t: df.agg(F.count(F.lit(1)).alias("rows")) for t, df in frames.items()}
+    counts |= counted or {}
+    named = [
+        df.select(F.lit(t).alias("table_name"), F.col("rows").cast("bigint").alias("rows"))
+        for t, df in counts.items()
+    ]
     known = facts_frame(spark, facts, PROFILE)
-    return counts.join(known, "table_name").select(
-        "table_name", "rows", *PROFILE.names[1:]
+    return (
+        reduce(DataFrame.unionByName, named)
+        .join(known, "table_name")
+        .select("table_name", "rows", *PROFILE.names[1:])
     )
 
 

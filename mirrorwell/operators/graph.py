@@ -44,10 +44,7 @@ def fk_edges(constraints: DataFrame, same_schema: bool = True) -> DataFrame:
         F.col("constraint_name").alias("key_name"),
         F.col("table_name").alias("parent_table"),
     )
-    # equal references collapse on the map side before the join
-    return (
-        child.distinct().join(parent, ["parent_owner", "key_name"]).select(*CHILD, *PARENT).distinct()
-    )
+    return child.join(parent, ["parent_owner", "key_name"]).select(*CHILD, *PARENT).distinct()
 
 
 def edges_within(edges: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -211,6 +208,9 @@ def _on_cycle(edges: DataFrame, state: LoopState) -> DataFrame:
     """
     found: list[DataFrame] = []
     rest = _trim(edges, state)
+    if rest is not None:  # what is left is often small enough to go on locally
+        state = LoopState(edges.sparkSession, "core")
+        [rest] = state.inputs(rest)
     while rest is not None:
         colours = _colour(rest, state)
         component = _component(rest, colours, state)

@@ -112,8 +112,8 @@ def with_chunks(
         if (splits or 1) >= 4 * chunks:
             return df.withColumn(CHUNK, chunk_of(split_address(), chunks))
         return df.withColumn(CHUNK, chunk_of(row_address(), chunks)).hint("rebalance", CHUNK)
-    except AnalysisException:  # no file behind the rows
-        spread = df.repartition(chunks)
+    except AnalysisException:  # no file behind the rows: chunk by scan partition
+        spread = df if (splits or 1) >= 4 * chunks else df.repartition(chunks)
         return spread.withColumn(CHUNK, F.pmod(F.spark_partition_id(), F.lit(chunks)))
 
 

@@ -209,7 +209,11 @@ def plan_refresh(
         plan.projected(table)
     facts = {}
     if here:
-        profiles = table_profiles(spark, frames, snapshot.sizes if snapshot else None)
+        counted = {}
+        if hasattr(source, "count_frame"):
+            counted = {t: source.count_frame(spark, t) for t in here}
+        sizes = snapshot.sizes if snapshot else None
+        profiles = table_profiles(spark, frames, sizes, counted=counted)
         chosen = with_strategy(
             profiles, config.supports_chunks, config.strategy, config.max_chunks_per_table
         )

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterable
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
@@ -23,6 +24,11 @@ from mirrorwell.sources.base import SnapshotTooOld, Source
 # Up to this many files a pinned read names them one by one; beyond it the same
 # list is joined in, so that the driver never holds it.
 MAX_NAMED_FILES = 10_000
+# The joined list is broadcast up to this many bytes of file names, which are summed
+# first; that is some millions of files. A longer list is joined by a shuffle.
+MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+# A listing has one small row per file, whatever the files' sizes: pack its tasks.
+LISTING_TASKS = "512"
 
 TABLES_SCHEMA = T.StructType(
     [
@@ -59,6 +65,21 @@ class FileSource:
         return self.root
 
 
+@contextmanager
+def packed_listing(spark: SparkSession):
+    """Run a listing in few tasks: by default every large file would be its own."""
+    setting = "spark.sql.files.maxPartitionNum"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, LISTING_TASKS)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(setting)
+        else:
+            spark.conf.set(setting, before)
+
+
 def list_files(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
     """``(table_name, path, file_uri, length, modified_at)``, one row per file.
 
@@ -109,7 +130,8 @@ class Snapshot:
     ) -> Snapshot:
         frames = {t: source.read(spark, t) for t in tables}
         roots = {t: qualified(spark, source.location(spark, t)) for t in frames}
-        materialize(list_files(spark, roots).coalesce(8), f"{path}/pins")
+        with packed_listing(spark):
+            materialize(list_files(spark, roots).coalesce(8), f"{path}/pins")
         rows = [(t, roots[t], df.schema.json()) for t, df in frames.items()]
         facts_frame(spark, rows, TABLES_SCHEMA).coalesce(1).write.parquet(f"{path}/tables")
         return cls(spark, path)
@@ -141,6 +163,9 @@ class Snapshot:
         if files > MAX_NAMED_FILES:
             live = reader.load(entry.root).withColumn("_uri", F.col("_metadata.file_path"))
             keep = mine.select(F.col("file_uri").alias("_uri"))
+            size = keep.agg(F.sum(F.octet_length("_uri"))).first()[0]
+            if size <= MAX_BROADCAST_BYTES:
+                keep = F.broadcast(keep)
             return live.join(keep, "_uri", "left_semi").drop("_uri")
         paths = self._paths(table)
         if paths != [entry.root]:  # a folder: keep its partition columns
@@ -176,7 +201,8 @@ class Snapshot:
 
     def check(self, tables: Iterable[str] | None = None) -> None:
         """Raise unless every pinned file is still what it was."""
-        bad = self.changed_files(tables).select("table_name", "path").limit(5).collect()
+        with packed_listing(self.spark):
+            bad = self.changed_files(tables).select("table_name", "path").limit(5).collect()
         if bad:
             names = ", ".join(f"{r.table_name}: {r.path}" for r in bad)
             raise SnapshotTooOld(f"pinned files changed since the plan ({names})")

@@ -13,6 +13,9 @@ from pyspark.sql import DataFrame, SparkSession
 from mirrorwell.sources.base import SourceError
 
 
+_SPLIT_OPTIONS = ("partitionColumn", "lowerBound", "upperBound", "numPartitions")
+
+
 @dataclass(frozen=True)
 class KeyRange:
     """A numeric key to split the read by; rows outside the bounds are read too."""
@@ -51,6 +54,13 @@ class JdbcSource:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.read_options(table)).load()
 
+    def count_frame(self, spark: SparkSession, table: str) -> DataFrame:
+        """``rows`` as one row counted by the remote side, so that none are fetched."""
+        options = self.read_options(table)
+        plain = {k: v for k, v in options.items() if k not in _SPLIT_OPTIONS}
+        plain["dbtable"] = f'(SELECT COUNT(*) AS "rows" FROM {options["dbtable"]}) counted'
+        return spark.read.format("jdbc").options(**plain).load()
+
     def location(self, spark: SparkSession, table: str) -> str:
         raise SourceError("a remote table has no files to pin: give as_of")
 

@@ -10,7 +10,9 @@ def spark():
     shared = tempfile.mkdtemp(prefix="mirrorwell-tests-")
     session = (
         SparkSession.builder.master(f"local[{os.environ.get('TEST_CPUS', '8')}]")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
+        # the tables are tiny: compiling a plan would take longer than running it
+        .config("spark.sql.codegen.wholeStage", "false")
         .config("spark.checkpoint.dir", shared)
         .config("spark.sql.warehouse.dir", shared + "/warehouse")
         .config("spark.sql.session.timeZone", "UTC")

@@ -33,6 +33,11 @@ def test_snapshot_hides_later_rows(spark, folder, live):
 def test_snapshot_beyond_the_named_files(spark, folder, live, monkeypatch):
     monkeypatch.setattr(files, "MAX_NAMED_FILES", 0)
     add_row(spark, folder)
+    joined = Snapshot(spark, f"{folder}/pins").read("T")
+    assert joined.count() == 10
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    monkeypatch.setattr(files, "MAX_BROADCAST_BYTES", 0)
     assert Snapshot(spark, f"{folder}/pins").read("T").count() == 10
 
 
