@@ -73,7 +73,7 @@ def fk_closure(edges: DataFrame, seeds: DataFrame, small: bool = False) -> DataF
             .withColumn("depth", F.lit(len(found)))
         )
         step = state.keep(step)
-        if step.isEmpty():
+        if not state.count(step):
             return reached
         found.append(step)
 
@@ -166,10 +166,10 @@ def _shrink(edges: DataFrame, keep, state: LoopState) -> tuple[list[DataFrame],
     Returns the edges before each round, and the stable rest if there is one.
     """
     rounds = [edges]
-    size = rounds[0].count()
+    size = state.count(rounds[0])
     while size:
         following = state.keep(keep(rounds[-1]))
-        left = following.count()
+        left = state.count(following)
         if left == size:
             return rounds, following
         rounds.append(following)
@@ -269,6 +269,6 @@ def _component(edges: DataFrame, colours: DataFrame, state: LoopState) -> DataFr
             .join(reached, list(NODE), "left_anti")
         )
         step = state.keep(step)
-        if step.isEmpty():
+        if not state.count(step):
             return reached
         found.append(step)

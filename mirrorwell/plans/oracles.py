@@ -243,7 +243,7 @@ ORACLES = {
     "copy_chunked": "SELECT * FROM documents",
     "copy_chunked_by_key": "SELECT * FROM conversations",
     "copy_ranged": "SELECT * FROM events",
-    "merge_chunks_staged": "SELECT * FROM events",
+    "merge_chunks": "SELECT * FROM events",
     "copy_recreate": "SELECT * FROM customer",
     "copy_partition_overwrite": "SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN 'REVISED' "
     "ELSE o_orderpriority END AS o_orderpriority) FROM orders",
@@ -258,7 +258,7 @@ ORACLES = {
         for t in COLUMNS
     ),
     "column_catalog": _filled(),
-    "chunk_counts_by_key": f"SELECT CAST({_row_hash('lineitem', ['l_orderkey', 'l_linenumber'])} % 8 AS INT) "
+    "chunk_counts": f"SELECT CAST({_row_hash('lineitem', ['l_orderkey', 'l_linenumber'])} % 8 AS INT) "
     "AS chunk, count(*) AS rows FROM lineitem GROUP BY 1",
     "chunk_totals": "SELECT CAST(4 AS BIGINT) AS chunks, count(*) AS rows, "
     "CAST(sum(o_orderkey) AS BIGINT) AS keys FROM orders",

@@ -70,7 +70,8 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Register under the function's name; a trailing ``_`` tells it from an operator."""
+    QUERIES[function.__name__.rstrip("_")] = function
     return function
 
 
@@ -132,7 +133,7 @@ def copy_ranged(spark, sf_dir):
 
 
 @query
-def merge_chunks_staged(spark, sf_dir):
+def merge_chunks_(spark, sf_dir):
     path = work_dir(spark, "staged")
     df = table(spark, sf_dir, "events")
     STRATEGY_FUNCTIONS["chunked_staging"](LoadContext(df, path, chunks=4))
@@ -225,7 +226,7 @@ def column_catalog(spark, sf_dir):
 
 
 @query
-def chunk_counts_by_key(spark, sf_dir):
+def chunk_counts_(spark, sf_dir):
     df = table(spark, sf_dir, "lineitem")
     chunk = F.pmod(portable_row_hash(df, ["l_orderkey", "l_linenumber"]), F.lit(8)).cast("int")
     return chunk_counts(df, chunk)

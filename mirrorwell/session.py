@@ -75,6 +75,7 @@ class LoopState:
         self.folder = work_dir(spark, label)
         self.small = small
         self.kept = 0
+        self.counted: dict[DataFrame, int] = {}
 
     def inputs(self, *frames: DataFrame) -> list[DataFrame]:
         if self.small:
@@ -85,10 +86,17 @@ class LoopState:
 
     def keep(self, df: DataFrame) -> DataFrame:
         if self.small:
-            return facts_frame(self.spark, [r.asDict() for r in df.collect()], df.schema)
+            rows = [r.asDict() for r in df.collect()]
+            local = facts_frame(self.spark, rows, df.schema)
+            self.counted[local] = len(rows)
+            return local
         self.kept += 1
         return materialize(df, f"{self.folder}/{self.kept}")
 
+    def count(self, df: DataFrame) -> int:
+        """Rows of a kept state: known, or from the footers of what was written."""
+        return self.counted[df] if df in self.counted else df.count()
+
 
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` once and go on from the written table.
