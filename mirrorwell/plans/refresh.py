@@ -416,8 +416,11 @@ class _Run:
             rows = [r for r in plan.rows if r.level == level]
             self._load_level(rows)
         ok = all(r["status"] in ("ok", "skipped") for r in self.results.values())
-        if plan.config.commit_mode == "defer_insert_commits" and ok:
+        if ok:
             self._publish(self.waiting)
+        else:
+            for table, *_ in self.waiting:
+                plan.target.discard(table, plan.job_id)
 
     def _load_level(self, rows: list) -> None:
         self._poll_ledger()
@@ -554,10 +557,12 @@ class _Run:
         done = [t for t, r in self.results.items() if r["published"]]
         keys = plan.foreign_keys(done)
         frames = self._published_frames({t for k in keys for t in (k.child, k.parent)})
+        # a parent that was never published leaves its keys undecided
+        open_keys = [k for k in keys if k.parent not in frames]
+        undecided = [(k.name, k.child, k.parent, None, None, None) for k in open_keys]
         keys = [k for k in keys if k.parent in frames]
-        none = facts_frame(self.spark, [], FK_RESULT)
         if not keys:
-            return none, []
+            return facts_frame(self.spark, undecided, FK_RESULT), []
         rows = check_foreign_keys(keys, frames).collect()
         errors = []
         by_name = {(k.child, k.name): k for k in keys}
@@ -567,7 +572,7 @@ class _Run:
                 missing = orphan_keys(frames[key.child], key.columns, frames[key.parent], key.parent_columns)
                 shown = [tuple(m)[:-1] for m in missing.limit(3).collect()]
                 errors.append(f"{key.name}: {row.orphan_rows} orphan rows, e.g. {shown}")
-        return facts_frame(self.spark, rows, FK_RESULT), errors
+        return facts_frame(self.spark, [tuple(r) for r in rows] + undecided, FK_RESULT), errors
 
     def next_ids(self, columns: Sequence[tuple[str, str, str]]) -> DataFrame | None:
         wanted = [c for c in columns if self.results.get(c[0], {}).get("published")]

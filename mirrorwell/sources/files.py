@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mirrorwell.session import facts_frame, materialize, path_exists
-from mirrorwell.sources.base import SnapshotTooOld, Source
+from mirrorwell.sources.base import SnapshotTooOld, Source, SourceError
 
 # Up to this many files a pinned read names them one by one; beyond it the same
 # list is joined in, so that the driver never holds it.
@@ -153,6 +153,8 @@ class Snapshot:
 
     def read(self, table: str, source_format: str = "parquet", **options) -> DataFrame:
         """The table as of the snapshot; files added later are not seen."""
+        if table not in self.tables:
+            raise SourceError(f"{table} is not part of the snapshot {self.path}")
         entry = self.tables[table]
         schema = T.StructType.fromJson(json.loads(entry.schema_json))
         reader = self.spark.read.schema(schema).format(source_format).options(**options)

@@ -9,7 +9,7 @@ from mirrorwell.operators.load import register_strategy
 from mirrorwell.operators.project import NoCommonColumns, UnwritableType
 from mirrorwell.operators.publish import Target
 from mirrorwell.plans.refresh import load_plan
-from mirrorwell.session import path_exists
+from mirrorwell.session import path_exists, remove_path
 from mirrorwell.sources.base import SnapshotTooOld
 from tests.fixtures import constraints_of, people
 
@@ -109,7 +109,9 @@ def test_deferred_commit_publishes_all_or_nothing(spark, folder, shop):
     register_strategy("lose", lose_some)
     mode = config("people, parent", commit_mode="defer_insert_commits")
     failed = copy_tables(spark, shop, f"{folder}/t", mode, strategies={"PEOPLE": "lose"})
-    assert not failed.success and Target(spark, f"{folder}/t").entries() == {}
+    target = Target(spark, f"{folder}/t")
+    assert not failed.success and target.entries() == {}
+    assert not path_exists(spark, target.version_path("PARENT", failed.job_id))
     assert copy_tables(spark, shop, f"{folder}/t", mode).success
     assert set(Target(spark, f"{folder}/t").entries()) == {"PEOPLE", "PARENT"}
 
@@ -188,6 +190,13 @@ def test_skipped_table_stays_as_it_was(spark, folder, shop):
     assert target.read("GONE").count() == 2
 
 
+def test_key_to_an_absent_parent_is_undecided(spark, folder, shop, cons):
+    remove_path(spark, f"{folder}/src/parent.parquet")
+    result = copy_tables(spark, shop, f"{folder}/t", config("child"), cons)
+    key = result.foreign_keys.first()
+    assert result.success and (key.constraint_name, key.valid) == ("FK_CHILD_PARENT", None)
+
+
 def test_failed_load_does_not_stop_the_others(spark, folder, shop):
     def broken(ctx):
         raise RuntimeError("disk on fire")

@@ -76,6 +76,11 @@ def test_pins_tell_tables_with_common_prefix_apart(spark, folder):
     assert [snapshot.read(t).count() for t in ("T", "T2")] == [3, 4]
 
 
+def test_table_outside_the_snapshot(live):
+    with pytest.raises(SourceError):
+        live[1].read("OTHER")
+
+
 def test_presence(spark):
     assert present(FileSource(DATA), spark, ["ORDERS", "RETURNS"]) == ["ORDERS"]
 
