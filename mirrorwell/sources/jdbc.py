@@ -6,7 +6,7 @@ opens its own connection and would otherwise see its own moment.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,12 +54,29 @@ class JdbcSource:
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         return spark.read.format("jdbc").options(**self.read_options(table)).load()
 
-    def count_frame(self, spark: SparkSession, table: str) -> DataFrame:
-        """``rows`` as one row counted by the remote side, so that none are fetched."""
+    def one_row_options(self, table: str, measures: str) -> dict[str, str]:
+        """Options to read ``measures`` as one row worked out by the remote side."""
         options = self.read_options(table)
         plain = {k: v for k, v in options.items() if k not in _SPLIT_OPTIONS}
-        plain["dbtable"] = f'(SELECT COUNT(*) AS "rows" FROM {options["dbtable"]}) counted'
-        return spark.read.format("jdbc").options(**plain).load()
+        return plain | {"dbtable": f"(SELECT {measures} FROM {options['dbtable']}) measured"}
+
+    def _one_row(self, spark: SparkSession, table: str, measures: str) -> DataFrame:
+        return spark.read.format("jdbc").options(**self.one_row_options(table, measures)).load()
+
+    def count_frame(self, spark: SparkSession, table: str) -> DataFrame:
+        """``rows``, counted without fetching any."""
+        return self._one_row(spark, table, 'COUNT(*) AS "rows"')
+
+    def split_by(self, spark: SparkSession, table: str, column: str, partitions: int) -> JdbcSource:
+        """This source, reading ``table`` in ranges between the ends of a key."""
+        ends = f'MIN("{column}") AS "low", MAX("{column}") AS "high"'
+        return self.with_ends(table, column, partitions, *self._one_row(spark, table, ends).first())
+
+    def with_ends(self, table: str, column: str, partitions: int, low, high) -> JdbcSource:
+        if low is None or low == high:
+            return self
+        split = KeyRange(column, int(low), int(high) + 1, partitions)
+        return replace(self, ranges={**self.ranges, table: split})
 
     def location(self, spark: SparkSession, table: str) -> str:
         raise SourceError("a remote table has no files to pin: give as_of")

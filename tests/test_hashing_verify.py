@@ -1,4 +1,6 @@
 import datetime
+import random
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -94,6 +96,18 @@ def test_diff_is_exact(spark):
     assert verify.diff(source, source.repartition(3)).isEmpty()
 
 
+def test_diff_against_brute_force(spark):
+    rng = random.Random(3)
+    draw = lambda: (rng.choice([None, 0, 1, 2]), rng.choice([None, "", "a", "b|", "|b"]), rng.choice([None, -0.0, 1.5]))
+    left, right = ([draw() for _ in range(n)] for n in (400, 420))
+    schema = "a int, b string, c double"
+    found = verify.diff(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema)).collect()
+    more = Counter(left)
+    more.subtract(Counter(right))
+    expected = {(*row, "source" if n > 0 else "target", abs(n)) for row, n in more.items() if n}
+    assert {tuple(r) for r in found} == expected
+
+
 def test_diff_of_one_hot_row(spark):
     hot = spark.range(30_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
     short = hot.where("k >= 0").unionByName(spark.range(9_000).select(F.lit(-1).cast("bigint").alias("k")))

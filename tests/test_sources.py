@@ -108,3 +108,13 @@ def test_jdbc_reads_at_the_snapshot():
     assert JdbcSource("u", "S").read_options("X")["dbtable"] == '"S"."X"'
     with pytest.raises(SourceError):
         source.location(None, "T")
+
+
+def test_jdbc_measures_on_the_remote_side():
+    source = JdbcSource("u", "S", as_of="AS OF X").with_ends("T", "ID", 8, 1, 800)
+    assert source.ranges["T"] == KeyRange("ID", 1, 801, 8)
+    counted = source.one_row_options("T", "COUNT(*)")
+    assert counted == {
+        "url": "u", "dbtable": '(SELECT COUNT(*) FROM (SELECT * FROM "S"."T" AS OF X) snap) measured'
+    }
+    assert JdbcSource("u", "S").with_ends("T", "ID", 8, None, None).ranges == {}
