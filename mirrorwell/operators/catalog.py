@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mirrorwell.operators.project import UNWRITABLE, WIDE
-from mirrorwell.session import facts_frame
+from mirrorwell.session import facts_frame, materialize, work_dir
 
 CONSTRAINTS = T.StructType(
     [
@@ -137,7 +137,7 @@ def fk_listing(
     if owner is not None:
         keys = keys.where(F.col("owner") == owner)
     if tables is not None:
-        keys = keys.join(tables.select("owner", "table_name").distinct(), ["owner", "table_name"], "left_semi")
+        keys = keys.join(tables.select("owner", "table_name"), ["owner", "table_name"], "left_semi")
     return keys.select("owner", "table_name", "constraint_name", "status").orderBy(
         "owner", "table_name", "constraint_name"
     )
@@ -157,6 +157,7 @@ def select_tables(
         chosen = chosen.where(F.col("table_name").like(pattern))
     if names is not None:
         listed = names.select(F.upper(F.trim("table_name")).alias("table_name")).distinct()
+        listed = materialize(listed, work_dir(tables.sparkSession, "listed"))
         chosen = chosen.join(listed, "table_name", "left_semi").select(*tables.columns)
     return chosen
 

@@ -47,8 +47,9 @@ def fk_edges(constraints: DataFrame, same_schema: bool = True) -> DataFrame:
     return child.join(parent, ["parent_owner", "key_name"]).select(*CHILD, *PARENT).distinct()
 
 
-def edges_within(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+def edges_within(edges: DataFrame, nodes: DataFrame, small: bool = False) -> DataFrame:
     """Edges with both ends among ``nodes``."""
+    nodes = LoopState(edges.sparkSession, "within", small).settle(nodes)
     return edges.join(_as(nodes, CHILD), list(CHILD), "left_semi").join(
         _as(nodes, PARENT), list(PARENT), "left_semi"
     )
@@ -183,17 +184,21 @@ def _peel(edges: DataFrame, state: LoopState) -> tuple[list[DataFrame], DataFram
     A table that is a child in round r has level r + 1 at least.
     """
     [proper] = state.inputs(_proper(edges))
-    return _shrink(
-        proper, lambda e: e.join(_as(_children(e), PARENT), list(PARENT), "left_semi"), state
-    )
+    return _shrink(proper, lambda e: _with_parent(e, e, state), state)
+
+
+def _with_parent(edges: DataFrame, others: DataFrame, state: LoopState) -> DataFrame:
+    """Edges whose parent is a child in ``others``."""
+    children = state.settle(_children(others))
+    return edges.join(_as(children, PARENT), list(PARENT), "left_semi")
 
 
 def _trim(edges: DataFrame, state: LoopState) -> DataFrame | None:
     """Drop, again and again, tables without a parent or without a child."""
     return _shrink(
         edges,
-        lambda e: e.join(_as(_children(e), PARENT), list(PARENT), "left_semi").join(
-            _as(_end(e, PARENT), CHILD), list(CHILD), "left_semi"
+        lambda e: _with_parent(e, e, state).join(
+            _as(state.settle(_end(e, PARENT)), CHILD), list(CHILD), "left_semi"
         ),
         state,
     )[1]

@@ -109,8 +109,12 @@ def newest_jobs(jobs: DataFrame, limit: int = 100) -> DataFrame:
 
 
 def without_jobs(events: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Events of jobs that are kept: deleting a job deletes its tables with it."""
-    gone = dropped.select("job_id").distinct()
+    """Events of jobs that are kept: deleting a job deletes its tables with it.
+
+    Give ``dropped`` as a written table: derived in the same plan by grouping on the
+    job, it would keep a job with very many events from being split.
+    """
+    gone = dropped.select("job_id")
     return events.join(gone, "job_id", "left_anti").select(*events.columns)
 
 

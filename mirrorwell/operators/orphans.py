@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mirrorwell.session import materialize, work_dir
+
 
 @dataclass(frozen=True)
 class ForeignKey:
@@ -46,9 +48,11 @@ def orphan_keys(
 def orphan_rows(
     child: DataFrame, columns: Sequence[str], parent: DataFrame, parent_columns: Sequence[str]
 ) -> DataFrame:
-    """The child rows themselves."""
+    """The child rows themselves. The missing keys are written first, so that their
+    size decides the join and a key held by many rows can be split."""
     names = {f"k{i}": c for i, c in enumerate(columns)}
     bad = orphan_keys(child, columns, parent, parent_columns).drop("rows").withColumnsRenamed(names)
+    bad = materialize(bad, work_dir(child.sparkSession, "orphans"))
     return child.join(bad, list(columns), "left_semi").select(*key_columns(child.columns))
 
 

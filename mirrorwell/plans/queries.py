@@ -34,7 +34,7 @@ from mirrorwell.operators.publish import Target
 from mirrorwell.operators.strategy import with_strategy
 from mirrorwell.plans import derived, refresh
 from mirrorwell.plans.derived import table
-from mirrorwell.session import facts_frame, work_dir
+from mirrorwell.session import facts_frame, materialize, work_dir
 from mirrorwell.sources.files import FileSource, Snapshot
 
 TABLES = (
@@ -574,7 +574,7 @@ def ledger_config(spark, sf_dir):
 def ledger_drop(spark, sf_dir):
     """Events that stay when jobs that failed last are dropped."""
     jobs = ledger.current_jobs(derived.job_events(spark, sf_dir), [])
-    failed = jobs.where("status = 'FAILED'")
+    failed = materialize(jobs.where("status = 'FAILED'"), work_dir(spark, "dropped"))
     events = derived.table_events(spark, sf_dir)
     return ledger.without_jobs(events, failed).select("job_id", "table_name", "seq", "status")
 

@@ -249,7 +249,7 @@ def _order(spark: SparkSession, declared: list, config: RefreshConfig) -> list:
     seeds = facts_frame(spark, [(config.source_schema, t) for t in config.tables], _NODES)
     edges = graph.fk_edges(facts_frame(spark, [r.asDict() for r in declared], CONSTRAINTS))
     nodes = graph.fk_closure(edges, seeds, small) if config.auto_include_fk_parents else seeds
-    return graph.load_order(graph.edges_within(edges, nodes), nodes, small).collect()
+    return graph.load_order(graph.edges_within(edges, nodes, small), nodes, small).collect()
 
 
 def _record_plan(plan: Plan) -> None:

@@ -93,6 +93,12 @@ class LoopState:
         self.kept += 1
         return materialize(df, f"{self.folder}/{self.kept}")
 
+    def settle(self, df: DataFrame) -> DataFrame:
+        """Write a side that was just grouped by the key it is joined on. Joined in
+        the same plan it would need no exchange of its own, and a skewed other side
+        could then not be split at run time."""
+        return df if self.small else self.keep(df)
+
     def count(self, df: DataFrame) -> int:
         """Rows of a kept state: known, or from the footers of what was written."""
         return self.counted[df] if df in self.counted else df.count()
