@@ -30,13 +30,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def runs(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges of about :data:`RUN_BYTES` of text each."""
+def runs(texts: pa.Array, size: int = RUN_BYTES) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``size`` bytes of text each."""
     ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0), dtype=np.int64))
     first = 0
     while first < len(texts):
         base = ends[first - 1] if first else 0
-        last = max(first + 1, int(np.searchsorted(ends, base + RUN_BYTES, "right")))
+        last = max(first + 1, int(np.searchsorted(ends, base + size, "right")))
         yield first, last
         first = last
 

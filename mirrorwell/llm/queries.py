@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorwell.llm import chat, exact_dedup, line_dedup, mixing, near_dup, quality
+from mirrorwell.llm import chat, exact_dedup, line_dedup, mixing, near_dup, quality, substring_dedup
 from mirrorwell.llm.common import table
 
 
@@ -27,6 +27,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substring_dedup.cut_repeats(table(spark, sf_dir, "documents"), window=20)
+    return cut.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads everything back from the formatted strings."""
     probe = "</s>[INST] ok [/INST]"
@@ -55,4 +60,4 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_line_dedup, op2_mixing, op3_ngram_jaccard_join, op5_exact_dedup, op7_chat_format, op8_quality_rules)}
+    op1_line_dedup, op2_mixing, op3_ngram_jaccard_join, op5_exact_dedup, op6_substring_dedup, op7_chat_format, op8_quality_rules)}
