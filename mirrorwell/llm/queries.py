@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorwell.llm import chat, exact_dedup, line_dedup, mixing, near_dup, quality, substring_dedup
+from mirrorwell.llm import chat, exact_dedup, line_dedup, mixing, near_dup, packing, quality, substring_dedup
 from mirrorwell.llm.common import table
 
 
@@ -59,5 +59,14 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(docs, rules).drop("text")
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), capacity=1024)
+
+
 QUERIES = {q.__name__: q for q in (
-    op1_line_dedup, op2_mixing, op3_ngram_jaccard_join, op5_exact_dedup, op6_substring_dedup, op7_chat_format, op8_quality_rules)}
+    op1_line_dedup, op2_mixing, op3_ngram_jaccard_join, op5_exact_dedup, op6_substring_dedup, op7_chat_format, op8_quality_rules,
+    op9_best_fit_packing)}
