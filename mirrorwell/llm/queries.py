@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorwell.llm import chat, exact_dedup, line_dedup, mixing, near_dup, packing, quality, substring_dedup
+from mirrorwell.llm import chat, exact_dedup, html_text, line_dedup, mixing, near_dup, packing, quality, substring_dedup
 from mirrorwell.llm.common import table
 
 
@@ -67,6 +67,11 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.tiktoken"), capacity=1024)
 
 
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.main_texts(pages, html_text.fit(pages))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_line_dedup, op2_mixing, op3_ngram_jaccard_join, op5_exact_dedup, op6_substring_dedup, op7_chat_format, op8_quality_rules,
-    op9_best_fit_packing)}
+    op9_best_fit_packing, op10_html_extraction)}
