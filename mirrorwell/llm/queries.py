@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorwell.llm import chat, exact_dedup, html_text, line_dedup, mixing, near_dup, packing, quality, substring_dedup
+from mirrorwell.llm import chat, exact_dedup, html_text, line_dedup, lm_score, mixing, near_dup, packing, quality, substring_dedup
 from mirrorwell.llm.common import table
 
 
@@ -23,6 +23,11 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_components(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lm_score.score_texts(docs, lm_score.train(docs.where(~lm_score.held_out())))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -73,5 +78,5 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {q.__name__: q for q in (
-    op1_line_dedup, op2_mixing, op3_ngram_jaccard_join, op5_exact_dedup, op6_substring_dedup, op7_chat_format, op8_quality_rules,
+    op1_line_dedup, op2_mixing, op3_ngram_jaccard_join, op4_lm_scoring, op5_exact_dedup, op6_substring_dedup, op7_chat_format, op8_quality_rules,
     op9_best_fit_packing, op10_html_extraction)}
