@@ -17,6 +17,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -119,8 +120,11 @@ def _part_rows(window: int, borders: np.ndarray):
         late = (ids[doc] != ids[doc[leader]]) | (start != start[leader])
         if late.any():
             told = _start_columns(ids[doc[late]], tags[doc[late]], start[late])
+            # known repeats pass through some group, so that all leave in one exchange
+            through = pa.array(np.arange(len(told[0])) % (len(borders) + 1), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(told[0]), t) for t in _PART_TYPES] + told, names=_PART_NAMES + _START_NAMES)
+                [through] + [pa.nulls(len(told[0]), t) for t in _PART_TYPES[1:]] + told,
+                names=_PART_NAMES + _START_NAMES)
             prefix, hashed, doc, start = prefix[~late], hashed[~late], doc[~late], start[~late]
         low, high = np.searchsorted(borders, prefix, "left"), np.searchsorted(borders, prefix, "right")
         part = low + (hashed % (high - low + 1).astype(_U)).astype(np.int64)
@@ -154,6 +158,10 @@ def _part_rows(window: int, borders: np.ndarray):
 
 def _repeats_of_group(table: pa.Table) -> pa.Table:
     """Deep nodes of the group's tree: all suffixes of each but the earliest."""
+    known = table.filter(pc.is_valid(table.column("starts"))).select(_START_NAMES)
+    table = table.filter(pc.is_valid(table.column("hashes"))).select(_PART_NAMES)
+    if not table.num_rows:
+        return known
     hashed, ids, tags, starts = [], [], [], []
     for row in table.to_pylist():
         firsts = np.frombuffer(row["firsts"], np.int64)
@@ -174,7 +182,8 @@ def _repeats_of_group(table: pa.Table) -> pa.Table:
     lead = np.concatenate([np.ones(min(1, len(own)), bool), hashed[own[1:]] != hashed[own[:-1]]])
     leader = own[np.flatnonzero(lead)[np.cumsum(lead) - 1]] if len(own) else own
     late = own[(ids[own] != ids[leader]) | (starts[own] != starts[leader])]
-    return pa.table(_start_columns(ids[late], tags[late], starts[late]), names=_START_NAMES)
+    found = pa.table(_start_columns(ids[late], tags[late], starts[late]), names=_START_NAMES)
+    return pa.concat_tables([known.cast(found.schema), found])
 
 
 def repeat_starts(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
@@ -185,10 +194,8 @@ def repeat_starts(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
     cuts = [i / groups for i in range(1, groups)]
     found = prefixes.agg(F.percentile_approx("prefix", F.array(*map(F.lit, cuts)), F.lit(100 * groups))).first()[0]
     borders = np.array(found or [0], np.int64)
-    out = scratch.keep(docs.mapInArrow(_part_rows(window, borders), f"{_PART}, {_START}"), "suffixes")
-    deep = (out.where("part is not null").select(*_PART_NAMES)
-            .groupBy("part").applyInArrow(_repeats_of_group, _START))
-    return out.where("part is null").select(*_START_NAMES).unionByName(deep)
+    return docs.mapInArrow(_part_rows(window, borders), f"{_PART}, {_START}").groupBy("part").applyInArrow(
+        _repeats_of_group, _START)
 
 
 def maximal_spans(starts: np.ndarray, window: int) -> np.ndarray:
@@ -247,7 +254,7 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     starts = repeat_starts(given, window, scratch)
     found = scratch.keep(
         starts.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "starts")).alias("found")), "found")
-    scratch.drop("suffixes", "prefixes")
+    scratch.drop("prefixes")
     return given.join(found, "doc_id", "left").select("doc_id", "text", "found").mapInArrow(
         _cut_rows(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, text string, "
         "spans array<array<int>>")
