@@ -2,10 +2,16 @@
 
 The word shingles of a document flip bits in a sketch. Each shingle that two documents
 do not share flips one bit, so the Hamming distance of two sketches is at most the size
-of the symmetric difference, and a similarity bounds that by ``d``. A sketch is dealt to
-``d + 1`` pieces of 64 bits: two similar documents agree in at least one whole piece.
-Pieces are joined per band of set sizes, what meets is compared by sketch and then by
-the shingles themselves.
+of the symmetric difference, and a similarity bounds that by ``d``. Of ``d + 1 + z``
+pieces of a sketch, two similar documents agree in at least ``z + 1``. Pieces on which
+at most one shingle falls are weak: many documents that have little in common agree in
+them. A document with no more than ``z`` of them need not show them, since then one of
+the pieces it agrees in is strong; one with more shows all. Pieces are joined per band
+of set sizes, what meets is compared by sketch and then by the shingles themselves.
+
+Two sketches of the same pieces are used: a very wide one to join, whose pieces are
+told by the exclusive or of a code for each set bit, and one of 64 bits a piece to
+compare.
 """
 
 from __future__ import annotations
@@ -25,18 +31,21 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 #: Sizes of one band differ by this factor at most.
 BAND_RATIO = 1.25
+#: Pieces beyond ``d + 1``, as a share of those.
+SPARE_SHARE = 0.1
 #: Piece keys per bucket that one task holds, about, and members of a key compared at once.
 BUCKET_BYTES = 24 << 20
 BLOCK = 2000
 _U = np.uint64
-_SKETCHES = ("doc_id long, n_shingles long, set1 long, set2 long, band int, sketch binary")
+_DIGESTS = "doc_id long, n_shingles long, set1 long, set2 long"
+_SKETCHES = "node long, n_shingles long, band int, sketch binary"
 
 
 class Bands:
     """Bands of set sizes for one similarity, and how many pieces each needs."""
 
     def __init__(self, percent: int, largest: int):
-        self.low, self.high, self.reach, self.pieces = [], [], [], []
+        self.low, self.high, self.reach, self.pieces, self.spare = [], [], [], [], []
         low = 1
         while low <= largest:
             high = max(low, int(low * BAND_RATIO))
@@ -45,7 +54,9 @@ class Bands:
             self.low.append(low)
             self.high.append(high)
             self.reach.append(reach)  # the largest partner of a set of this band
-            self.pieces.append(both - 2 * -(-percent * both // (100 + percent)) + 1)
+            most = both - 2 * -(-percent * both // (100 + percent))
+            self.spare.append(0 if most < 2 else max(1, round(SPARE_SHARE * (most + 1))))
+            self.pieces.append(most + 1 + self.spare[-1])
             low = high + 1
 
     def of(self, size: int) -> list[int]:
@@ -88,35 +99,57 @@ def sketch_of(shingles: np.ndarray, pieces: int) -> np.ndarray:
     return out
 
 
-def piece_keys(band: int, sketch: np.ndarray) -> np.ndarray:
-    place = mix(np.arange(len(sketch), dtype=_U) + (_U(band) << _U(40)))
-    return mix(sketch ^ place)
+def piece_keys(shingles: np.ndarray, band: int, pieces: int, spare: int) -> np.ndarray:
+    """Keys of the pieces a set shows in a band: equal for equal pieces."""
+    place = (shingles % _U(pieces)).astype(np.int64)
+    held = np.bincount(place, minlength=pieces)
+    keys = mix(np.arange(pieces, dtype=_U) + (_U(band) << _U(40)))
+    np.bitwise_xor.at(keys, place, mix(shingles ^ _U(0x5851F42D4C957F2D)))
+    weak = held <= 1
+    return keys if int(weak.sum()) > spare else keys[~weak]
+
+
+def set_digest(shingles: np.ndarray) -> tuple[int, int]:
+    """128 bits that tell sets apart."""
+    both = np.array([np.bitwise_xor.reduce(shingles, initial=0), mix(shingles).sum(dtype=_U)], _U)
+    one, two = signed(both).tolist()
+    return one, two
+
+
+def _grown(bands: Bands, percent: int, size: int) -> Bands:
+    return bands if size <= bands.high[-1] else Bands(percent, 4 * size)
+
+
+def _digest_rows(words: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = [(len(s), *set_digest(s)) for _, s in shingle_sets(batch.column("text"), words)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array([t[i] for t in told], pa.int64()) for i in range(3))],
+                names=["doc_id", "n_shingles", "set1", "set2"])
+    return run
 
 
 def _sketch_rows(words: int, percent: int):
+    """A row for each band a document takes part in."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent, 1 << 12)
         for batch in batches:
-            ids = batch.column("doc_id")
+            ids = batch.column("node")
             rows: list[tuple] = []
             for row, shingles in shingle_sets(batch.column("text"), words):
-                n = len(shingles)
-                while n > bands.high[-1]:
-                    bands = Bands(percent, 4 * n)
-                set1 = int(signed(np.array([np.bitwise_xor.reduce(shingles)]))[0]) if n else 0
-                set2 = int(signed(np.array([mix(shingles).sum(dtype=_U)]))[0]) if n else 0
-                for band in bands.of(n) or [-1]:
-                    sketch = sketch_of(shingles, bands.pieces[band]).tobytes() if n else None
-                    rows.append((ids[row].as_py(), n, set1, set2, band, sketch))
-            cols = list(zip(*rows)) or [[]] * 6
+                bands = _grown(bands, percent, len(shingles))
+                for band in bands.of(len(shingles)):
+                    rows.append((ids[row].as_py(), len(shingles), band,
+                                 sketch_of(shingles, bands.pieces[band]).tobytes()))
+            cols = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int64(),
-                                                      pa.int32(), pa.binary()))],
-                names=["doc_id", "n_shingles", "set1", "set2", "band", "sketch"])
+                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
+                names=["node", "n_shingles", "band", "sketch"])
     return run
 
 
-def _piece_blobs(buckets: int):
+def _piece_blobs(words: int, percent: int, buckets: int):
     """Keys of all pieces, by bucket. Equal sets that one task meets send theirs once."""
     def flush(keys: list, docs: list) -> pa.RecordBatch:
         key, doc = np.concatenate(keys), np.concatenate(docs)
@@ -132,19 +165,25 @@ def _piece_blobs(buckets: int):
         ], names=["bucket", "keys", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bands = Bands(percent, 1 << 12)
         seen: set[tuple] = set()
         keys, docs, held = [], [], 0
         for batch in batches:
-            for doc, one, two, band, sketch in zip(*(batch.column(c).to_pylist() for c in
-                                                     ("doc_id", "set1", "set2", "band", "sketch"))):
-                if doc is None or sketch is None or (one, two, band) in seen:
+            ids = batch.column("doc_id").to_pylist()
+            for row, shingles in shingle_sets(batch.column("text"), words):
+                if ids[row] is None or not len(shingles):
+                    continue
+                digest = set_digest(shingles)
+                if digest in seen:
                     continue
                 if len(seen) < 200_000:
-                    seen.add((one, two, band))
-                found = piece_keys(band, np.frombuffer(sketch, _U))
-                keys.append(found)
-                docs.append(np.full(len(found), doc, np.int64))
-                held += len(found)
+                    seen.add(digest)
+                bands = _grown(bands, percent, len(shingles))
+                for band in bands.of(len(shingles)):
+                    found = piece_keys(shingles, band, bands.pieces[band], bands.spare[band])
+                    keys.append(found)
+                    docs.append(np.full(len(found), ids[row], np.int64))
+                    held += len(found)
                 if held > 1_000_000:
                     yield flush(keys, docs)
                     keys, docs, held = [], [], 0
@@ -221,19 +260,16 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-dup")
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sketches = scratch.keep(given.mapInArrow(_sketch_rows(words, percent), _SKETCHES), "sketches")
-    # a document has a row for each band it takes part in; the largest band is its own
-    own = sketches.groupBy("doc_id", "n_shingles", "set1", "set2", "band").count()
     alike = ["n_shingles", "set1", "set2"]
-    own = own.groupBy("doc_id", *alike).agg(F.max_by("count", "band").alias("rows"))
+    own = given.mapInArrow(_digest_rows(words), _DIGESTS).groupBy("doc_id", *alike).agg(
+        F.count("*").alias("rows"))
     own = scratch.keep(own, "own")
     nodes = scratch.keep(
         own.where("n_shingles > 0").groupBy(*alike).agg(F.min("doc_id").alias("node")), "nodes")
     member = scratch.keep(own.join(nodes, alike, "left"), "member")
 
-    buckets = max(8, 1 + 3 * input_bytes(sketches) // BUCKET_BYTES)
-    blobs = sketches.select("doc_id", "set1", "set2", "band", "sketch").mapInArrow(
-        _piece_blobs(buckets), "bucket int, keys binary, docs binary")
+    buckets = max(8, 2 * input_bytes(docs) // BUCKET_BYTES)
+    blobs = given.mapInArrow(_piece_blobs(words, percent, buckets), "bucket int, keys binary, docs binary")
     met = blobs.groupBy("bucket").applyInArrow(_met_keys, "key long, doc_id long")
     named = member.where("node is not null and doc_id is not null").select("doc_id", "node").distinct()
     hits = scratch.keep(met.join(named, "doc_id").select("key", "node").distinct(), "hits")
@@ -243,16 +279,15 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     hits = scratch.keep(hits.join(firsts, "key").select("key", "a", F.col("node").alias("b")), "stars")
     chosen = scratch.keep(hits.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "chosen")
 
-    facts = sketches.where("sketch is not null").withColumnRenamed("doc_id", "node")
-    facts = likely_in(facts, chosen, "node").join(chosen, "node", "left_semi")
-    facts = scratch.keep(facts.select("node", "n_shingles", "band", "sketch").distinct(), "facts")
-    sets = likely_in(given.withColumnRenamed("doc_id", "node"), chosen, "node")
+    texts = likely_in(given.withColumnRenamed("doc_id", "node"), chosen, "node")
+    facts = texts.mapInArrow(_sketch_rows(words, percent), _SKETCHES).join(chosen, "node", "left_semi")
+    facts = scratch.keep(facts.distinct(), "facts")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         pairs = scratch.keep(pairs, f"{name}-pairs")
         wanted = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(),
                               f"{name}-wanted")
-        held = likely_in(sets, wanted, "node").mapInArrow(_set_rows(words), "node long, shingles array<long>")
+        held = likely_in(given.withColumnRenamed("doc_id", "node"), wanted, "node").mapInArrow(_set_rows(words), "node long, shingles array<long>")
         held = scratch.keep(held.join(wanted, "node", "left_semi"), f"{name}-sets")
         one = held.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
         two = held.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
