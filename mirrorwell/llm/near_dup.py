@@ -9,9 +9,8 @@ them. A document with no more than ``z`` of them need not show them, since then
 the pieces it agrees in is strong; one with more shows all. Pieces are joined per band
 of set sizes, what meets is compared by sketch and then by the shingles themselves.
 
-Two sketches of the same pieces are used: a very wide one to join, whose pieces are
-told by the exclusive or of a code for each set bit, and one of 64 bits a piece to
-compare.
+Two sketches are used: a very wide one to join, whose pieces are told by the exclusive
+or of a code for each set bit, and one of a few bits per shingle to compare.
 """
 
 from __future__ import annotations
@@ -33,6 +32,9 @@ PERCENT = 80
 BAND_RATIO = 1.25
 #: Pieces beyond ``d + 1``, as a share of those.
 SPARE_SHARE = 0.1
+#: Bits of a compared sketch for each shingle; the low bits of a key tell its band.
+SKETCH_BITS = 4
+BAND_BITS = 6
 #: Piece keys per bucket that one task holds, about, and members of a key compared at once.
 BUCKET_BYTES = 24 << 20
 BLOCK = 2000
@@ -46,6 +48,7 @@ class Bands:
 
     def __init__(self, percent: int, largest: int):
         self.low, self.high, self.reach, self.pieces, self.spare = [], [], [], [], []
+        self.words: list[int] = []  # of the sketch that is compared
         low = 1
         while low <= largest:
             high = max(low, int(low * BAND_RATIO))
@@ -57,6 +60,7 @@ class Bands:
             most = both - 2 * -(-percent * both // (100 + percent))
             self.spare.append(0 if most < 2 else max(1, round(SPARE_SHARE * (most + 1))))
             self.pieces.append(most + 1 + self.spare[-1])
+            self.words.append(-(-high * SKETCH_BITS // 64))
             low = high + 1
 
     def of(self, size: int) -> list[int]:
@@ -92,10 +96,10 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]
                 yield first + i, window_hashes(hashes[a:b], int(b - a)) if b > a else hashes[:0]
 
 
-def sketch_of(shingles: np.ndarray, pieces: int) -> np.ndarray:
-    """One 64-bit word per piece, each bit the parity of the shingles that fall on it."""
-    out = np.zeros(pieces, _U)
-    np.bitwise_xor.at(out, (shingles % _U(pieces)).astype(np.int64), _U(1) << (mix(shingles) >> _U(58)))
+def sketch_of(shingles: np.ndarray, words: int) -> np.ndarray:
+    """Bits in 64-bit words, each the parity of the shingles that fall on it."""
+    out = np.zeros(words, _U)
+    np.bitwise_xor.at(out, (shingles % _U(words)).astype(np.int64), _U(1) << (mix(shingles) >> _U(58)))
     return out
 
 
@@ -105,6 +109,7 @@ def piece_keys(shingles: np.ndarray, band: int, pieces: int, spare: int) -> np.n
     held = np.bincount(place, minlength=pieces)
     keys = mix(np.arange(pieces, dtype=_U) + (_U(band) << _U(40)))
     np.bitwise_xor.at(keys, place, mix(shingles ^ _U(0x5851F42D4C957F2D)))
+    keys = (keys << _U(BAND_BITS)) | _U(band % (1 << BAND_BITS))
     weak = held <= 1
     return keys if int(weak.sum()) > spare else keys[~weak]
 
@@ -141,7 +146,7 @@ def _sketch_rows(words: int, percent: int):
                 bands = _grown(bands, percent, len(shingles))
                 for band in bands.of(len(shingles)):
                     rows.append((ids[row].as_py(), len(shingles), band,
-                                 sketch_of(shingles, bands.pieces[band]).tobytes()))
+                                 sketch_of(shingles, bands.words[band]).tobytes()))
             cols = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.binary()))],
@@ -153,7 +158,7 @@ def _piece_blobs(words: int, percent: int, buckets: int):
     """Keys of all pieces, by bucket. Equal sets that one task meets send theirs once."""
     def flush(keys: list, docs: list) -> pa.RecordBatch:
         key, doc = np.concatenate(keys), np.concatenate(docs)
-        bucket = (key % _U(buckets)).astype(np.int64)
+        bucket = ((key >> _U(BAND_BITS + 4)) % _U(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         key, doc, bucket = key[order], doc[order], bucket[order]
         ends = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -324,7 +329,9 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         "key", "node", "component", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0)
         .otherwise(1).alias("side"))
-    rest = rest.join(facts, "node")
+    low = F.pmod("key", F.lit(1 << BAND_BITS))
+    rest = rest.withColumn("low", low).join(
+        facts.withColumn("low", F.pmod("band", F.lit(1 << BAND_BITS))), ["node", "low"])
     late = rest.groupBy("key", "band", "i", "j").applyInArrow(_near_in_group(percent), "a long, b long")
     more = verified(late.distinct().join(links, ["a", "b"], "left_anti"), "second")
     comps = scratch.keep(components(links.unionByName(more), scratch, "second"), "components")
