@@ -76,13 +76,15 @@ class Scratch:
 FILTER_BUCKETS = 1 << 18
 
 
-def likely_in(df: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+def likely_in(df: DataFrame, keys: DataFrame, name: str, others: bool = False) -> DataFrame:
     """Rows of ``df`` whose ``name`` may be among ``keys``: all that are, and some that
-    share a bucket with one. What is broadcast is at most :data:`FILTER_BUCKETS` integers,
-    so wide rows need not move to be found; an exact join has to follow."""
+    share a bucket with one; or with ``others`` the rows that are left. What is broadcast
+    is at most :data:`FILTER_BUCKETS` integers, so wide rows need not move to be found; an
+    exact join has to follow."""
     bucket = F.pmod(F.xxhash64(name), F.lit(FILTER_BUCKETS)).cast("int")
     buckets = keys.select(bucket.alias("_bucket")).distinct()
-    return df.withColumn("_bucket", bucket).join(F.broadcast(buckets), "_bucket", "left_semi").drop("_bucket")
+    how = "left_anti" if others else "left_semi"
+    return df.withColumn("_bucket", bucket).join(F.broadcast(buckets), "_bucket", how).drop("_bucket")
 
 
 def input_bytes(df: DataFrame) -> int:

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mirrorwell.llm.common import Scratch
+from mirrorwell.llm.common import Scratch, likely_in
 from mirrorwell.llm.hashing import mix, owners, runs, window_hashes, word_hashes
 
 WINDOW = 20
@@ -138,7 +138,7 @@ def _part_rows(window: int, borders: np.ndarray):
             used, spot = np.unique(doc[own], return_inverse=True)
             base = np.cumsum(longest[used]) - longest[used]
             gaps, place = np.diff(hashed[own], prepend=_U(0)), base[spot] + start[own]
-            rows.append((int(p), ids[used].tobytes(), tags[used].tobytes(), base.tobytes(),
+            rows.append((int(p), ids[used].tobytes(), tags[used].tobytes(), base.astype("<u4").tobytes(),
                          _width(gaps), pack(gaps, _width(gaps)), _width(place), pack(place, _width(place))))
         cols = [pa.array(c, t) for c, t in zip(zip(*rows), _PART_TYPES)]
         yield pa.RecordBatch.from_arrays(
@@ -156,7 +156,7 @@ def _part_rows(window: int, borders: np.ndarray):
     return run
 
 
-def _repeats_of_group(table: pa.Table) -> pa.Table:
+def _late_starts(table: pa.Table) -> pa.Table:
     """Deep nodes of the group's tree: all suffixes of each but the earliest."""
     known = table.filter(pc.is_valid(table.column("starts"))).select(_START_NAMES)
     table = table.filter(pc.is_valid(table.column("hashes"))).select(_PART_NAMES)
@@ -164,7 +164,7 @@ def _repeats_of_group(table: pa.Table) -> pa.Table:
         return known
     hashed, ids, tags, starts = [], [], [], []
     for row in table.to_pylist():
-        firsts = np.frombuffer(row["firsts"], np.int64)
+        firsts = np.frombuffer(row["firsts"], "<u4").astype(np.int64)
         place = unpack(row["places"], row["place_width"]).astype(np.int64)
         spot = np.searchsorted(firsts, place, "right") - 1
         hashed.append(np.cumsum(unpack(row["hashes"], row["hash_width"]), dtype=_U))
@@ -186,16 +186,43 @@ def _repeats_of_group(table: pa.Table) -> pa.Table:
     return pa.concat_tables([known.cast(found.schema), found])
 
 
+_BY_DOCUMENT = "owners int, starts binary"
+
+
+def _repeats_of_group(groups: int):
+    """The repeats of a group, packed by the document they are in."""
+    def run(table: pa.Table) -> pa.Table:
+        late = _late_starts(table)
+        counts = np.asarray(pc.list_value_length(late.column("starts"))).astype(np.int64)
+        flat = np.stack([
+            np.repeat(np.asarray(late.column("doc_id")).astype(np.int64), counts),
+            np.repeat(np.asarray(late.column("tag")).astype(np.int64), counts),
+            np.asarray(pc.list_flatten(late.column("starts"))).astype(np.int64)], axis=1)
+        owner = (mix(flat[:, 0].astype(_U)) % _U(groups)).astype(np.int64)
+        order = np.argsort(owner, kind="stable")
+        ends = np.searchsorted(owner[order], np.arange(groups + 1))
+        full = np.flatnonzero(np.diff(ends))
+        return pa.table({"owners": pa.array(full, pa.int32()),
+                         "starts": pa.array([flat[order[ends[g]:ends[g + 1]]].tobytes() for g in full], pa.binary())})
+    return run
+
+
+def _by_document(table: pa.Table) -> pa.Table:
+    flat = np.concatenate([np.frombuffer(x, np.int64) for x in table.column("starts").to_pylist()]).reshape(-1, 3)
+    return pa.table(_start_columns(flat[:, 0], flat[:, 1], flat[:, 2]), names=_START_NAMES)
+
+
 def repeat_starts(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
-    """``(doc_id, tag, starts)``: the windows whose words also start earlier, in some rows
-    per document."""
+    """``(doc_id, tag, starts)``: the windows whose words also start earlier, a row for
+    each text of a document that has any."""
     prefixes = scratch.keep(docs.select("text").mapInArrow(_border_rows(window), "prefix long"), "prefixes")
     groups = max(8, prefixes.count() * STEP // GROUP_SUFFIXES)
     cuts = [i / groups for i in range(1, groups)]
     found = prefixes.agg(F.percentile_approx("prefix", F.array(*map(F.lit, cuts)), F.lit(100 * groups))).first()[0]
     borders = np.array(found or [0], np.int64)
-    return docs.mapInArrow(_part_rows(window, borders), f"{_PART}, {_START}").groupBy("part").applyInArrow(
-        _repeats_of_group, _START)
+    packed = docs.mapInArrow(_part_rows(window, borders), f"{_PART}, {_START}").groupBy("part").applyInArrow(
+        _repeats_of_group(groups), _BY_DOCUMENT)
+    return packed.groupBy("owners").applyInArrow(_by_document, _START)
 
 
 def maximal_spans(starts: np.ndarray, window: int) -> np.ndarray:
@@ -255,6 +282,10 @@ def cut_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = scratch.keep(
         starts.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "starts")).alias("found")), "found")
     scratch.drop("prefixes")
-    return given.join(found, "doc_id", "left").select("doc_id", "text", "found").mapInArrow(
+    # texts move only where a repeat was found, or a hash says so
+    moved = likely_in(given, found, "doc_id").join(found, "doc_id", "left").select("doc_id", "text", "found")
+    still = likely_in(given, found, "doc_id", others=True).select(
+        "doc_id", "text", F.lit(None).cast(found.schema["found"].dataType).alias("found"))
+    return moved.unionByName(still).mapInArrow(
         _cut_rows(window), "doc_id long, n_words long, n_removed long, kept_sha256 string, text string, "
         "spans array<array<int>>")
