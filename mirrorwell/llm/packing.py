@@ -216,27 +216,29 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[
     return bins, offsets
 
 
-def _pack_group(table: pa.Table) -> pa.Table:
+def _pack_group(capacity: int):
     """Pack a partition anew; keep what came in if that took as few bins.
 
     Adds the number of bins and the proven bound, both for the whole partition."""
-    lengths = np.asarray(table.column("length")).astype(np.int64)
-    group = table.column("part")[0].as_py()
-    bins, offsets = best_fit_decreasing(lengths)
-    count = int(bins.max()) + 1
-    names = (np.int64(group) << 32) + bins
-    old = table.column("sequence_id")
-    if not old.null_count and len(np.unique(np.asarray(old))) <= count:
-        names, offsets = np.asarray(old), np.asarray(table.column("offset"))
-        count = len(np.unique(names))
-    _, spot = np.unique(names, return_inverse=True)
-    filled = np.bincount(spot, weights=lengths).astype(np.int64)[spot]
-    bound = lower_bound(lengths)
-    for name, value in (("sequence_id", pa.array(names)), ("offset", pa.array(offsets)),
-                        ("filled", pa.array(filled)),
-                        ("gap", pa.array(np.full(len(names), count - bound)))):
-        table = table.set_column(table.schema.get_field_index(name), name, value)
-    return table
+    def run(table: pa.Table) -> pa.Table:
+        lengths = np.asarray(table.column("length")).astype(np.int64)
+        group = table.column("part")[0].as_py()
+        bins, offsets = best_fit_decreasing(lengths, capacity)
+        count = int(bins.max()) + 1
+        names = (np.int64(group) << 32) + bins
+        old = table.column("sequence_id")
+        if not old.null_count and len(np.unique(np.asarray(old))) <= count:
+            names, offsets = np.asarray(old), np.asarray(table.column("offset"))
+            count = len(np.unique(names))
+        _, spot = np.unique(names, return_inverse=True)
+        filled = np.bincount(spot, weights=lengths).astype(np.int64)[spot]
+        bound = lower_bound(lengths, capacity)
+        for name, value in (("sequence_id", pa.array(names)), ("offset", pa.array(offsets)),
+                            ("filled", pa.array(filled)),
+                            ("gap", pa.array(np.full(len(names), count - bound)))):
+            table = table.set_column(table.schema.get_field_index(name), name, value)
+        return table
+    return run
 
 
 def pack_pieces(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY) -> DataFrame:
@@ -258,7 +260,7 @@ def pack_pieces(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY) -
     done: list[DataFrame] = []
     first = 0
     for number in range(ROUNDS):
-        packed = scratch.keep(state.groupBy("part").applyInArrow(_pack_group, state.schema), f"packed-{number}")
+        packed = scratch.keep(state.groupBy("part").applyInArrow(_pack_group(capacity), state.schema), f"packed-{number}")
         again = (F.col("gap") > 0) & (F.col("filled") < capacity)
         if number + 1 == ROUNDS or parts == 1:
             done.append(packed)
