@@ -39,7 +39,7 @@ def fk_edges(constraints: DataFrame, same_schema: bool = True) -> DataFrame:
     if same_schema:
         # before the join: a parent schema shared by all children never shuffles
         child = child.where(F.col("child_owner") == F.col("parent_owner"))
-    parent = constraints.where(F.col("constraint_type") == "P").select(
+    parent = constraints.where(F.col("constraint_type").isin("P", "U")).select(
         F.col("owner").alias("parent_owner"),
         F.col("constraint_name").alias("key_name"),
         F.col("table_name").alias("parent_table"),

@@ -61,7 +61,8 @@ def high_water_marks(
             F.struct(
                 F.lit(column).alias("column_name"),
                 F.lit(sequence).alias("sequence_name"),
-                (F.coalesce(F.max(f"`{column}`"), F.lit(0)) + 1).cast("bigint").alias("next_value"),
+                (F.coalesce(F.max(f"`{column}`").cast("decimal(38,0)"), F.lit(0)) + 1)
+                .cast("bigint").alias("next_value"),
             )
             for column, sequence in wanted
         ]

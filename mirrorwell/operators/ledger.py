@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mirrorwell.functions.names import ERROR_LENGTH, error_text
 from mirrorwell.operators.publish import append_log, read_log
 
 # The states a job and a table may be in.
@@ -79,7 +78,7 @@ def current_jobs(events: DataFrame, fields: Sequence[str] = JOB_FIELDS) -> DataF
     return events.groupBy("job_id").agg(
         *[last_set(f) for f in fields],
         F.max_by("status", changed).alias("status"),
-        error_text(F.max_by("error", changed)).alias("error"),
+        F.max_by("error", changed).alias("error"),
         *_times(F.col("status").isin(*TERMINAL_STATUSES)),
     )
 
@@ -193,7 +192,7 @@ class Ledger:
         path = f"{self.root}/{name}"
         seq = read_log(self.spark, path, schema).agg(F.max("seq")).first()[0] or 0
         complete = [
-            {"seq": seq + i, **row, "error": (row.get("error") or "")[:ERROR_LENGTH] or None}
+            {"seq": seq + i, **row, "error": row.get("error") or None}
             for i, row in enumerate(rows, 1)
         ]
         append_log(self.spark, path, complete, schema, ["event_at", *stamp])

@@ -130,7 +130,8 @@ def key_ranges(df: DataFrame, key: str, chunks: int) -> list[tuple[int, int]]:
     if low is None:
         return []
     width = -(-(high - low + 1) // chunks)
-    return [(low + i * width, low + (i + 1) * width) for i in range(chunks)]
+    last = (1 << 63) - 1
+    return [(min(last, low + i * width), min(last, low + (i + 1) * width)) for i in range(chunks)]
 
 
 def range_chunk_counts(df: DataFrame, key: str, chunks: int) -> DataFrame:
@@ -146,7 +147,11 @@ def range_chunk_counts(df: DataFrame, key: str, chunks: int) -> DataFrame:
     if not ranges:
         return bounds.withColumn("rows", F.lit(0).cast("bigint"))
     low, width = ranges[0][0], ranges[0][1] - ranges[0][0]
-    chunk = F.floor((F.col(key) - low) / width).cast("int")
+    # in decimal: the distance of two far keys is beyond a long, a quotient beyond a double
+    chunk = F.expr(
+        f"cast((cast(`{key}` as decimal(38,0)) - cast('{low}' as decimal(38,0)))"
+        f" div cast('{width}' as decimal(38,0)) as int)"
+    )
     counts = chunk_counts(df.where(F.col(key).isNotNull()), chunk)
     return bounds.join(counts, "chunk", "left").select(
         "chunk", "lower", "upper", F.coalesce("rows", F.lit(0)).alias("rows")

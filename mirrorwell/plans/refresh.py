@@ -141,7 +141,8 @@ class Plan:
         return ()
 
     def foreign_keys(self, tables: Sequence[str]) -> list[ForeignKey]:
-        keys = {(c.owner, c.constraint_name): c for c in self.constraints if c.constraint_type == "P"}
+        keys = {(c.owner, c.constraint_name): c for c in self.constraints
+                if c.constraint_type in ("P", "U")}
         found = []
         for c in self.constraints:
             parent = keys.get((c.r_owner, c.r_constraint_name))
@@ -229,7 +230,9 @@ def plan_refresh(
             "status": "planned" if known else "skipped",
         }
         plan.rows.append(T.Row(**{f: values.get(f) for f in PLAN.names}))
-    assert all(r.strategy != REFUSED for r in plan.rows)
+    refused = [r.table_name for r in plan.rows if r.strategy == REFUSED]
+    if refused:
+        raise ValueError(f"columns of a type that cannot be written: {', '.join(refused)}")
     if record:
         _record_plan(plan)
     return plan
@@ -340,9 +343,9 @@ def run_refresh(
     success = not failed and not run.cancelled and not errors
     if book is not None:
         _record_results(book, plan.job_id, rows)
-        state, why = ("DONE", None) if success else ("FAILED", "one or more tables failed")
+        state, why = ("DONE", None) if success else ("FAILED", f"not loaded: {', '.join(r['table_name'] for r in rows if r['status'] == 'failed')}")
         if run.cancelled:
-            state, why = "CANCELLED", "cancelled mid-run"
+            state, why = "CANCELLED", "stopped before all tables were loaded"
         elif errors and not failed:
             why = "; ".join(errors)
         book.record_job(plan.job_id, status=state, error=why)
@@ -354,9 +357,9 @@ def run_refresh(
 
 def _admit(job, resume: bool) -> None:
     if job.status == "RUNNING":
-        raise ValueError(f"job {job.job_id} is running already; cancel it or wait")
+        raise ValueError(f"{job.job_id} has not ended yet")
     if job.status != "PLANNED" and not resume:
-        raise ValueError(f"job {job.job_id} is {job.status}; pass resume=True to run it again")
+        raise ValueError(f"{job.job_id} ended as {job.status}: only resume=True takes it up again")
 
 
 def _result(plan: Plan, row, **facts) -> dict:
@@ -469,13 +472,14 @@ class _Run:
             self.waiting += good
 
     def _poll_ledger(self) -> None:
-        if self.cancelled or self.check_cancelled is not None or not self.plan.recorded:
+        if self.cancelled or not self.plan.recorded:
             return
         self.cancelled = self.plan.ledger().status(self.plan.job_id) == "CANCELLED"
 
     def _load_one(self, row):
         if not self.cancelled and self.check_cancelled is not None and self.check_cancelled():
             self.cancelled = True
+        self._poll_ledger()
         if self.cancelled:
             self.results[row.table_name] = _result(self.plan, row, status="cancelled")
             return None

@@ -23,7 +23,7 @@ def test_job_goes_through_its_states(book):
     first_start = book.job("j1").started_at
     book.record_job("j1", status="FAILED", error="x" * 5000)
     failed = book.job("j1")
-    assert failed.status == "FAILED" and len(failed.error) == 4000 and failed.ended_at is not None
+    assert failed.status == "FAILED" and len(failed.error) == 5000 and failed.ended_at is not None
     book.record_job("j1", status="RUNNING")
     book.record_job("j1", status="DONE")
     done = book.job("j1")

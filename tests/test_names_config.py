@@ -23,7 +23,7 @@ def test_columns_of_names(spark):
 
 def test_job_id():
     found = new_job_id(datetime(2026, 5, 22, 12, 0, 0))
-    assert re.fullmatch(r"j_20260522_120000_[0-9a-f]{4}", found)
+    assert re.fullmatch(r"j_20260522_120000_[0-9a-f]{16}", found)
     assert new_job_id(datetime(2026, 1, 1)) < new_job_id(datetime(2026, 1, 2))
 
 
