@@ -357,7 +357,7 @@ def run_refresh(
 
 def _admit(job, resume: bool) -> None:
     if job.status == "RUNNING":
-        raise ValueError(f"{job.job_id} has not ended yet")
+        raise ValueError(f"{job.job_id} is still running")
     if job.status != "PLANNED" and not resume:
         raise ValueError(f"{job.job_id} ended as {job.status}: only resume=True takes it up again")
 
