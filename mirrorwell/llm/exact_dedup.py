@@ -62,12 +62,13 @@ def exact_groups(docs: DataFrame) -> DataFrame:
             F.transform("chunks", lambda c: F.xxhash64(c)).alias("chunk_hashes"),
             F.transform("chunks", lambda c: F.sha2(c, 256)).alias("chunk_digests")),
         "recipes")
-    # a hash that stood for two chunks identifies neither: such recipes use digests
-    unsure = (
+    # a hash that stood for two chunks identifies neither: such recipes use digests; written
+    # before it is joined, so that a large group of copies can be split at run time
+    unsure = scratch.keep(
         recipes.select("n_bytes", "hash", F.explode("chunk_hashes").alias("chunk_hash"))
         .join(clashing, "chunk_hash", "left_semi").select("n_bytes", "hash").distinct()
-        .withColumn("unsure", F.lit(True))
-    )
+        .withColumn("unsure", F.lit(True)),
+        "unsure")
     identified = recipes.join(unsure, ["n_bytes", "hash"], "left").select(
         "doc_id", "n_bytes", "hash",
         F.when(F.col("unsure"), F.col("chunk_digests"))
