@@ -165,7 +165,8 @@ def select_tables(
 def with_presence(wanted: DataFrame, present: DataFrame) -> DataFrame:
     """Wanted tables with ``status``: planned if the source has it, else skipped.
     Tables pair by all columns of ``present``."""
-    here = present.distinct().withColumn("_here", F.lit(True))
+    here = materialize(present.distinct(), work_dir(present.sparkSession, "present"))
+    here = here.withColumn("_here", F.lit(True))
     status: Column = F.when(F.col("_here"), "planned").otherwise("skipped")
     return wanted.join(here, present.columns, "left").withColumn("status", status).drop("_here")
 

@@ -118,7 +118,9 @@ def load_order(edges: DataFrame, nodes: DataFrame, small: bool = False) -> DataF
     names = stuck.orderBy(*NODE).limit(20).collect()
     if names:
         listed = ", ".join(f"{r.owner}.{r.table_name}" for r in names)
-        raise CycleError(f"foreign keys form a cycle; {stuck.count()} tables wait: {listed}")
+        more = stuck.count() - len(names)
+        beyond = f" and {more} more, see fk_cycles" if more else ""
+        raise CycleError(f"foreign keys form a cycle; these wait: {listed}{beyond}")
     return levels.orderBy("level", *NODE)
 
 

@@ -52,9 +52,10 @@ def direct_copy(ctx: LoadContext) -> None:
 
 
 def parallel_dml(ctx: LoadContext) -> None:
-    """At least ``max_parallel`` writers. Rows move only if the scan has fewer."""
+    """At least ``max_parallel`` writers. Rows move only if the scan is known to have
+    fewer splits; a scan of unknown size is written from where it is read."""
     df = ctx.df
-    if (ctx.splits or 1) < ctx.max_parallel:
+    if ctx.splits is not None and ctx.splits < ctx.max_parallel:
         df = df.repartition(ctx.max_parallel)
     df.write.mode("overwrite").parquet(ctx.path)
 
@@ -104,7 +105,8 @@ def with_chunks(
     By the row's address the chunks are even whatever the values are, so a value
     held by a third of the rows does no harm. A scan of many splits is chunked
     split by split, without a shuffle. With ``key`` equal keys share a chunk; a
-    chunk that grows too large is written by several tasks.
+    chunk that grows too large is written by several tasks. With ``splits`` unknown
+    rows without a file stay in their partitions.
     """
     if key:
         return df.withColumn(CHUNK, chunk_of(list(key), chunks)).hint("rebalance", CHUNK)
@@ -113,7 +115,7 @@ def with_chunks(
             return df.withColumn(CHUNK, chunk_of(split_address(), chunks))
         return df.withColumn(CHUNK, chunk_of(row_address(), chunks)).hint("rebalance", CHUNK)
     except AnalysisException:  # no file behind the rows: chunk by scan partition
-        spread = df if (splits or 1) >= 4 * chunks else df.repartition(chunks)
+        spread = df if splits is None or splits >= 4 * chunks else df.repartition(chunks)
         return spread.withColumn(CHUNK, F.pmod(F.spark_partition_id(), F.lit(chunks)))
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mirrorwell.config import RefreshConfig
+from mirrorwell.config import STRATEGIES, RefreshConfig
 from mirrorwell.functions.hashing import exact_sum, row_hash
 from mirrorwell.functions.names import new_job_id
 from mirrorwell.operators import graph, ids, ledger, verify
@@ -141,18 +141,20 @@ class Plan:
         return ()
 
     def foreign_keys(self, tables: Sequence[str]) -> list[ForeignKey]:
+        """Enabled keys of ``tables``. A key to another schema names as its parent what
+        it refers to there; no table of the job has that name."""
         keys = {(c.owner, c.constraint_name): c for c in self.constraints
                 if c.constraint_type in ("P", "U")}
         found = []
         for c in self.constraints:
+            if c.constraint_type != "R" or c.table_name not in tables or c.status == "DISABLED":
+                continue
             parent = keys.get((c.r_owner, c.r_constraint_name))
-            if c.constraint_type == "R" and c.table_name in tables and parent is not None:
-                found.append(
-                    ForeignKey(
-                        c.constraint_name, c.table_name, tuple(c.columns),
-                        parent.table_name, tuple(parent.columns),
-                    )
-                )
+            to, columns = (
+                (f"{c.r_owner}.{c.r_constraint_name}", ()) if parent is None
+                else (parent.table_name, tuple(parent.columns))
+            )
+            found.append(ForeignKey(c.constraint_name, c.table_name, tuple(c.columns), to, columns))
         return found
 
     def ledger(self) -> ledger.Ledger:
@@ -185,6 +187,8 @@ def plan_refresh(
     nothing is written under the target. Everything that can be refused, a column
     type or a missing common column, is refused here, before any table changes.
     """
+    if config.strategy == STRATEGIES[3]:
+        raise ValueError(f"{config.strategy} works in place: call exchange_partitions")
     job_id = new_job_id()
     target = Target(spark, target_root)
     declared = _declared(spark, constraints, config.source_schema).collect()

@@ -21,12 +21,6 @@ from pyspark.sql import types as T
 from mirrorwell.session import facts_frame, materialize, path_exists
 from mirrorwell.sources.base import SnapshotTooOld, Source, SourceError
 
-# Up to this many files a pinned read names them one by one; beyond it the same
-# list is joined in, so that the driver never holds it.
-MAX_NAMED_FILES = 10_000
-# The joined list is broadcast up to this many bytes of file names, which are summed
-# first; that is some millions of files. A longer list is joined by a shuffle.
-MAX_BROADCAST_BYTES = 512 * 1024 * 1024
 # A listing has one small row per file, whatever the files' sizes: pack its tasks.
 LISTING_TASKS = "512"
 
@@ -152,23 +146,19 @@ class Snapshot:
         return self._sizes
 
     def read(self, table: str, source_format: str = "parquet", **options) -> DataFrame:
-        """The table as of the snapshot; files added later are not seen."""
+        """The table as of the snapshot; files added later are not seen.
+
+        The pinned files are named one by one, however many there are, so no other file
+        is opened. The scan's own file index holds the same names on the driver.
+        """
         if table not in self.tables:
             raise SourceError(f"{table} is not part of the snapshot {self.path}")
         entry = self.tables[table]
         schema = T.StructType.fromJson(json.loads(entry.schema_json))
         reader = self.spark.read.schema(schema).format(source_format).options(**options)
-        mine = self.pins.where(F.col("table_name") == table)
         files = self.sizes.get(table, (0, 0, 0))[0]
         if files == 0:
             return facts_frame(self.spark, [], schema)
-        if files > MAX_NAMED_FILES:
-            live = reader.load(entry.root).withColumn("_uri", F.col("_metadata.file_path"))
-            keep = mine.select(F.col("file_uri").alias("_uri"))
-            size = keep.agg(F.sum(F.octet_length("_uri"))).first()[0]
-            if size <= MAX_BROADCAST_BYTES:
-                keep = F.broadcast(keep)
-            return live.join(keep, "_uri", "left_semi").drop("_uri")
         paths = self._paths(table)
         if paths != [entry.root]:  # a folder: keep its partition columns
             reader = reader.option("basePath", entry.root)
@@ -180,10 +170,7 @@ class Snapshot:
             raise
 
     def _paths(self, table: str) -> list[str]:
-        """Read for all tables at once when there are few files in all."""
-        if sum(files for files, _, _ in self.sizes.values()) > MAX_NAMED_FILES:
-            mine = self.pins.where(F.col("table_name") == table)
-            return [r.path for r in mine.select("path").collect()]
+        """The names of a table's files; read once for all tables."""
         if not hasattr(self, "_by_table"):
             self._by_table: dict[str, list[str]] = {}
             for r in self.pins.select("table_name", "path").collect():

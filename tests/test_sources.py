@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from mirrorwell.sources import files
 from mirrorwell.sources.base import SnapshotTooOld, SourceError, present, table_exists
 from mirrorwell.sources.catalog_tables import CatalogSource
 from mirrorwell.sources.files import FileSource, Snapshot
@@ -30,15 +29,19 @@ def test_snapshot_hides_later_rows(spark, folder, live):
     snapshot.check()
 
 
-def test_snapshot_beyond_the_named_files(spark, folder, live, monkeypatch):
-    monkeypatch.setattr(files, "MAX_NAMED_FILES", 0)
+def test_snapshot_names_its_files_and_no_other(spark, folder, live):
+    _, snapshot = live
     add_row(spark, folder)
-    joined = Snapshot(spark, f"{folder}/pins").read("T")
-    assert joined.count() == 10
-    plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
-    monkeypatch.setattr(files, "MAX_BROADCAST_BYTES", 0)
-    assert Snapshot(spark, f"{folder}/pins").read("T").count() == 10
+    pinned = snapshot.read("T")
+    assert len(pinned.inputFiles()) == snapshot.sizes["T"][0]
+    assert "Join" not in pinned._jdf.queryExecution().executedPlan().toString()
+
+
+def test_missing_pinned_file_stops_the_read(live):
+    _, snapshot = live
+    remove_path(snapshot.spark, snapshot._paths("T")[0])
+    with pytest.raises(SnapshotTooOld):
+        snapshot.read("T")
 
 
 def test_snapshot_of_partitioned_table(spark, folder):
