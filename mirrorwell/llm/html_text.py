@@ -252,7 +252,11 @@ def fit(pages: DataFrame, fit_pages: int = FIT_PAGES) -> Model:
     """Count the potentials on at most ``fit_pages`` pages that mark their main text,
     those of the smallest hash of page_id. Without any, the pseudo-counts alone decide."""
     marked = pages.where(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
-    chosen = marked.orderBy(F.xxhash64("page_id"), "page_id").limit(fit_pages).select("html")
+    order = F.xxhash64("page_id")
+    # the bound is found on hashes alone, so only about fit_pages whole pages move
+    last = marked.select(order.alias("h")).orderBy("h").limit(fit_pages).agg(F.max("h")).first()[0]
+    near = marked.where(order <= F.lit(last)) if last is not None else marked
+    chosen = near.orderBy(order, "page_id").limit(fit_pages).select("html")
     rows = (chosen.repartition(8).mapInArrow(_count_rows, "seen string, label string, n long")
             .groupBy("seen", "label").agg(F.sum("n").alias("n")).collect())
     count: Counter = Counter()
