@@ -74,8 +74,8 @@ STAGES = [
     ("best-fit packing", pack),
 ]
 
-#: Learned rules and token ids are beyond SQL. The operators are tested one by one in tests/llm; a
-#: comparison of the whole chain with plain Python is still to be written.
+#: Learned rules and token ids are beyond SQL. tests/llm/test_pipeline.py compares the whole chain
+#: with plain Python.
 ORACLE_SQL = None
 
 
