@@ -38,6 +38,9 @@ BAND_BITS = 6
 #: Piece keys per bucket that one task holds, about, and members of a key compared at once.
 BUCKET_BYTES = 24 << 20
 BLOCK = 2000
+#: Of the keys a document is compared in, the smallest so many tell which key names a pair. A
+#: pair is always named by the smallest key it shares, by others only if that one is not listed.
+HEAD_KEYS = 32
 _U = np.uint64
 _DIGESTS = "doc_id long, n_shingles long, set1 long, set2 long"
 _SKETCHES = "node long, n_shingles long, band int, sketch binary"
@@ -211,19 +214,25 @@ def _met_keys(table: pa.Table) -> pa.Table:
 
 
 def _near_in_group(percent: int):
-    """Pairs of a key's members of different components whose sketches are near enough."""
+    """Pairs of a key's members of different components whose sketches are near enough,
+    but for those known to meet in a smaller key as well, which names them."""
     def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("node")
+        key = table.column("key")[0].as_py()
         node = np.asarray(table.column("node"))
         comp = np.asarray(table.column("component"))
         size = np.asarray(table.column("n_shingles"))
-        left = np.asarray(table.column("side")) != 1
-        right = np.asarray(table.column("side")) != 0
+        side = np.asarray(table.column("side"))
+        heads = [{k for k in h if k < key} for h in table.column("heads").to_pylist()]
         sketches = np.stack([np.frombuffer(s, _U) for s in table.column("sketch").to_pylist()])
         a_out, b_out = [], []
-        others = np.flatnonzero(right)
-        for i in np.flatnonzero(left):
+        right = np.flatnonzero(side != 0)
+        for i in np.flatnonzero(side != 1):
+            others = right[right > i] if side[i] == 2 else right
+            others = others[comp[others] != comp[i]]
             far = np.bitwise_count(sketches[others] ^ sketches[i]).sum(axis=1, dtype=np.int64)
-            near = others[(far <= allowed(percent, size[i], size[others])) & (comp[others] != comp[i])]
+            near = others[far <= allowed(percent, size[i], size[others])]
+            near = near[np.array([heads[i].isdisjoint(heads[j]) for j in near], bool)]
             a_out.append(np.full(len(near), node[i]))
             b_out.append(node[near])
         a, b = np.concatenate(a_out or [node[:0]]), np.concatenate(b_out or [node[:0]])
@@ -321,8 +330,12 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
                                   F.count("*").alias("members")).where("x <> y")
         .select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "open")
-    rest = placed.join(open_keys, "key").withColumn(
-        "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rest = scratch.keep(placed.join(open_keys, "key"), "rest")
+    heads = scratch.keep(rest.groupBy("node").agg(
+        F.slice(F.sort_array(F.collect_set("key")), 1, HEAD_KEYS).alias("heads")), "heads")
+    late_facts = scratch.keep(facts.join(heads, "node").withColumn(
+        "low", F.pmod("band", F.lit(1 << BAND_BITS))), "late-facts")
+    rest = rest.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # each pair of blocks of a key is one group; a member goes to those its block is in
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rest = rest.select("*", other.alias("other")).select(
@@ -330,8 +343,7 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0)
         .otherwise(1).alias("side"))
     low = F.pmod("key", F.lit(1 << BAND_BITS))
-    rest = rest.withColumn("low", low).join(
-        facts.withColumn("low", F.pmod("band", F.lit(1 << BAND_BITS))), ["node", "low"])
+    rest = rest.withColumn("low", low).join(late_facts, ["node", "low"])
     late = rest.groupBy("key", "band", "i", "j").applyInArrow(_near_in_group(percent), "a long, b long")
     more = verified(late.distinct().join(links, ["a", "b"], "left_anti"), "second")
     comps = scratch.keep(components(links.unionByName(more), scratch, "second"), "components")
