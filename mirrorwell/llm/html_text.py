@@ -24,16 +24,22 @@ FIT_PAGES = 2_000
 
 _TAG = re.compile(
     r"<!--(?P<comment>.*?)(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
+    # a quote is one only where a value begins
+    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]++|=\s*+(?:\"[^\"]*\"|'[^']*'|[^>\s\"'][^>\s]*+)?+)*+)>"
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attrs2>[^>]*)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SENTENCE = re.compile(r"[.!?…]")
 # Fixed sets of HTML itself.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_SILENT = frozenset("script style noscript template iframe object svg math head title select "
+_SILENT = frozenset("script style noscript template iframe object svg math title select "
                     "textarea button canvas audio video".split())
 _RAW = frozenset("script style textarea title iframe noscript".split())
+_NO_NESTING = frozenset("button select".split())
+# An unclosed raw element ends here.
+_BODY_TAG = re.compile(
+    r"<(?:/head|/?(?:body|article|main|section|header|footer|nav|aside|div|p|h[1-6]|ul|ol|dl|table|"
+    r"blockquote|pre|figure|form|hr))(?=[\s/>])", re.I)
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q "
                     "s samp small span strike strong sub sup time tt u var wbr".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -65,14 +71,18 @@ class Page:
 def parse(source: str) -> Page:
     """Blocks and texts of a page. Inline markup joins its block's text; a line break is
     white space. Scripts, styles and what never shows are left out; unclosed and stray
-    tags are put up with."""
+    tags are put up with: a silent element that is not closed within its block hides
+    nothing, a raw one ends at the next tag of the body. A head holds silent elements
+    only, so its own tags, which may be left out, say nothing."""
     page = Page()
     stack: list[int] = []
     pieces: list[str] = []
     link = 0
     link_chars = 0
     silent: str | None = None
-    depth = 0
+    opened: list[int] = []  # where the silent elements of this name begin that are still open
+    inner: Counter = Counter()  # blocks open inside the silent element
+    unclosed: set[int] = set()
 
     def open_block(tag: str, names: list[str]) -> None:
         page.parent.append(stack[-1] if stack else -1)
@@ -105,32 +115,61 @@ def parse(source: str) -> Page:
 
     open_block("", [])
     at, size = 0, len(source)
-    while at < size:
+    while at < size or silent is not None:
         found = _TAG.search(source, at)
-        if found is None:
+        if found is None and silent is None:
             say(source[at:])
             break
-        say(source[at:found.start()])
-        at = found.end()
-        name = found["name"] or found["name2"]
-        if name is None:
-            continue
-        name = name.lower()
-        closing = bool(found["end"] or found["end2"])
+        name = closing = None
+        if found is not None:
+            say(source[at:found.start()])
+            at = found.end()
+            name = found["name"] or found["name2"]
+            if name is None:
+                continue
+            name = name.lower()
+            closing = bool(found["end"] or found["end2"])
+            slashed = (found["attrs"] or found["attrs2"] or "").rstrip().endswith("/")
+            if name in _RAW:
+                if not closing and not (slashed and silent == "svg"):
+                    if silent is None:
+                        settle()
+                    end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(source, at)
+                    cut = None if end else _BODY_TAG.search(source, at)
+                    at = end.end() if end else cut.start() if cut else size
+                continue
         if silent is not None:
-            if name == silent:
-                depth += -1 if closing else 1
-                if not depth:
-                    silent = None
+            lost = 0  # how many of the open silent elements have no end
+            if name is None:
+                lost = len(opened)
+            elif name == silent and closing:
+                opened.pop()
+            elif name == silent and name in _NO_NESTING:
+                lost = 1
+            elif name == silent:
+                if not slashed:
+                    opened.append(at)
+            elif closing and inner[name]:
+                inner[name] -= 1
+            elif closing:
+                if name != "p" and any(page.tag[i] == name for i in stack):
+                    lost = len(opened)
+            elif name not in _VOID and not slashed:
+                inner[name] += 1
+            if lost:
+                unclosed.update(opened[:lost])
+                at = opened[0]
+            if lost or not opened:
+                silent = None
             continue
         if name in _SILENT:
             if not closing:
                 settle()
-                if name in _RAW:
-                    end = re.compile(rf"</{name}\b[^>]*>", re.I).search(source, at)
-                    at = end.end() if end else size
-                elif not (found["attrs"] or found["attrs2"] or "").rstrip().endswith("/"):
-                    silent, depth = name, 1
+                if not slashed and at not in unclosed:
+                    silent, opened, inner = name, [at], Counter()
+            continue
+        if name == "head":
+            settle()
             continue
         if name == "br":
             say(" ")

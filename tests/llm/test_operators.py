@@ -121,3 +121,32 @@ def test_html(spark):
     pages = spark.createDataFrame([(1, "u", page), (None, None, None), (2, "v", "")], "page_id long, url string, html string")
     rows = {r.page_id: r for r in html_text.main_texts(pages, html_text.fit(pages)).collect()}
     assert rows[1].text == "A & B One two three. Four." and rows[None].text == "" and rows[2].n_chars == 0
+
+
+ARTICLE = "<article><p>It's one. It goes on.</p></article>"
+SHARE = "<p>Share</p>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<html><head><title>T</title><meta charset=utf-8><body>{ARTICLE}",
+    f"<html><head><title>T</title><link rel=x>{ARTICLE}</html>",
+    "<html><head><script>for(i=0;i<n;i++){} // don't track</script></head><body>" + ARTICLE,
+    f"<html><head><title>T<body>{ARTICLE}",
+    f"<div><button>Share</div>{ARTICLE}",
+    f"<button>{SHARE}{ARTICLE}<button>Share</button>",
+    f"<body><svg><script href='x'/><path d='M 0'>{ARTICLE}</body>",
+    f"<select><option>1<option>2{ARTICLE}",
+    f"<object>{ARTICLE}<object><p>No</p></object>",
+    f"<template><script>'</template>'; a<b // don't</script>No</template>{ARTICLE}",
+    f"<a href=it's title>x</a>{ARTICLE}",
+])
+def test_html_unclosed_and_raw(page):
+    """What is not closed hides nothing; a script's text is no markup, wherever it stands."""
+    texts = [text for _, text in html_text.parse(page).texts]
+    assert "It's one. It goes on." in texts
+    assert not {"No", "T"} & set(texts) and not any("don't" in t for t in texts)
+
+
+def test_html_unclosed_is_linear():
+    page = "<button><svg><object>" * 20_000 + ARTICLE
+    assert "It's one. It goes on." in [text for _, text in html_text.parse(page).texts]
