@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorwell.llm import chat, exact_dedup, html_text, line_dedup, lm_score, mixing, near_dup, packing, quality, substring_dedup
+from mirrorwell.llm import bpe, chat, exact_dedup, html_text, line_dedup, lm_score, mixing, near_dup, packing, quality, substring_dedup
 from mirrorwell.llm.common import table
 
 
@@ -77,6 +77,18 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_texts(pages, html_text.fit(pages))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    read = bpe.decode_ids(bpe.encode_texts(docs, path).drop("text"), path)
+    return read.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_line_dedup, op2_mixing, op3_ngram_jaccard_join, op4_lm_scoring, op5_exact_dedup, op6_substring_dedup, op7_chat_format, op8_quality_rules,
-    op9_best_fit_packing, op10_html_extraction)}
+    op9_best_fit_packing, op10_html_extraction, op13_bpe)}
