@@ -17,6 +17,11 @@ ENCODER = bpe.Encoder(PATH)
 SPECIAL = ["<|startoftext|>", "<|endoftext|>"]
 
 
+def encoded(encoder, texts):
+    ids, ends = encoder.encode(texts)
+    return [ids[a:b].tolist() for a, b in zip(ends, ends[1:])]
+
+
 def expected(text):
     return LIBRARY.encode(text or "", add_special_tokens=False).ids
 
@@ -25,8 +30,8 @@ def expected(text):
 @given(st.lists(st.one_of(st.text(max_size=12), st.sampled_from([*SPECIAL, " ", "\n", "'s", "'LL", "ΑΣ ", "İ", "é",
                                                                   "\x85", "\x1c", " ", "́", "１２", "don't"])), max_size=8))
 def test_any_unicode(parts):
-    text = "".join(parts)
-    assert ENCODER.encode(text).tolist() == expected(text)
+    texts = ["".join(parts), *parts, None]
+    assert encoded(ENCODER, texts) == [expected(t) for t in texts]
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -34,8 +39,8 @@ def test_long_words(seed):
     """No white space at all: one word of thousands of symbols, few and many letters."""
     pick = random.Random(seed)
     letters = ["a", "ab", "theinro", "aeiouthsrnldé日本"][seed]
-    word = "".join(pick.choice(letters) for _ in range(30_000))
-    assert ENCODER.encode(word).tolist() == expected(word)
+    words = ["".join(pick.choice(letters) for _ in range(size)) for size in (1, 2, 5, 9, 64, 511, 513, 1024, 30_000)]
+    assert encoded(ENCODER, words) == [expected(w) for w in words]
 
 
 def test_leftmost_lowest():
@@ -52,9 +57,11 @@ def test_leftmost_lowest():
 
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "MEMORY_UNITS", 3)
+    monkeypatch.setattr(bpe, "STRETCH", 10)
     small = bpe.Encoder(PATH)
-    text = " ".join(f"word{i} again" for i in range(20))
-    assert small.encode(text).tolist() == expected(text) and len(small) <= 3
+    for texts in ([" ".join(f"word{i} again" for i in range(20))], ["a b", "c d\x1ce"], ["e f"]):
+        assert encoded(small, texts) == [expected(t) for t in texts]
+    assert len(small.units) <= 3
 
 
 def test_rows(spark):
