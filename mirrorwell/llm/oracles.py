@@ -68,9 +68,61 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 FROM told
 """
 
+# CRC-32 of a conv_id's digits, bit by bit: the start value, then every bit of every byte from
+# the lowest on.
+_BITS = "flatten(list_transform(string_split(conv_id::varchar, ''), lambda ch: list_transform(range(8), lambda b: (ascii(ch)::bigint >> b) & 1)))"
+_CRC = f"""xor(4294967295::bigint, list_reduce(list_concat([4294967295::bigint], {_BITS}),
+  lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor(c >> 1, 3988292384::bigint) ELSE c >> 1 END))"""
+
+OP12 = f"""
+WITH said AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role,
+           sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+named AS (SELECT *, dense_rank() OVER (ORDER BY role, text) AS tid, length(text) AS len FROM said),
+convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_CRC} % 6 AS h
+          FROM (SELECT DISTINCT conv_id FROM said)),
+built AS (
+  SELECT c.conv_id, n.pos, n.tid, n.len FROM convs c JOIN named n ON n.conv_id = c.base AND n.pos <= c.h
+  UNION ALL
+  SELECT c.conv_id, n.pos - c.h + least(c.h, coalesce(b.turns, 0)), n.tid, n.len
+  FROM convs c JOIN named n ON n.conv_id = c.conv_id AND n.pos > c.h
+  LEFT JOIN (SELECT conv_id, count(*) AS turns FROM named GROUP BY 1) b ON b.conv_id = c.base),
+steps AS (
+  SELECT conv_id, pos AS depth, len,
+         string_agg(tid::varchar, ',') OVER (PARTITION BY conv_id ORDER BY pos) AS prefix
+  FROM built
+  UNION ALL SELECT conv_id, 0, 0, '' FROM convs),
+lengths AS (SELECT conv_id, max(depth) AS turns FROM steps GROUP BY 1),
+nodes AS (
+  SELECT prefix, depth, min(s.conv_id) AS conv_id, count(*) AS n_convs, min(len) AS len,
+         sha256(coalesce(string_agg(s.conv_id::varchar, ',' ORDER BY s.conv_id)
+           FILTER (l.turns = s.depth), '')) AS ends_sha256
+  FROM steps s JOIN lengths l USING (conv_id) GROUP BY prefix, depth),
+linked AS (
+  SELECT n.*, p.prefix AS over, p.conv_id AS parent_conv_id
+  FROM nodes n
+  LEFT JOIN steps s ON s.conv_id = n.conv_id AND s.depth = n.depth - 1
+  LEFT JOIN nodes p ON p.prefix = s.prefix AND p.depth = s.depth),
+kids AS (SELECT parent_conv_id, depth - 1 AS depth, count(*) AS n_children FROM linked
+         WHERE depth > 0 GROUP BY 1, 2),
+facts AS (
+  SELECT l.*, coalesce(k.n_children, 0) AS n_children
+  FROM linked l LEFT JOIN kids k ON k.parent_conv_id = l.conv_id AND k.depth = l.depth),
+sums AS (
+  SELECT s.prefix, s.depth, sum((f.n_convs - 1) * f.len) AS saved,
+         count(*) FILTER (f.n_children = 0) AS leaves
+  FROM facts f JOIN steps s ON s.conv_id = f.conv_id AND s.depth <= f.depth GROUP BY 1, 2)
+SELECT f.conv_id, f.depth::bigint AS depth, f.parent_conv_id, f.n_convs, f.n_children,
+       s.leaves AS n_leaves, s.saved::bigint AS saved_tokens, f.ends_sha256
+FROM facts f JOIN sums s ON s.prefix = f.prefix AND s.depth = f.depth
+"""
+
 ORACLES = {
     "op1_line_dedup": OP1,
     "op5_exact_dedup": OP5,
     "op6_substring_dedup": OP6,
     "op7_chat_format": OP7,
+    "op12_conversation_trie": OP12,
 }
