@@ -68,6 +68,26 @@ SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_char
 FROM told
 """
 
+_TERMS = ("regexp_extract_all(" + _LOWER.format("coalesce(text, '')")
+          + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+OP11 = f"""
+WITH held AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM held GROUP BY 1, 2),
+sizes AS (SELECT doc_id, sum(tf)::bigint AS n FROM counts GROUP BY 1),
+totals AS (SELECT count(*) AS docs, sum(n)::bigint AS terms FROM sizes),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::bigint AS w
+  FROM counts, totals GROUP BY term),
+lengths AS (SELECT doc_id, 100 - 25 + ((25 * n * docs) // terms) AS m FROM sizes, totals),
+asked AS (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark),
+wanted AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY 1, 2),
+scores AS (
+  SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint AS score
+  FROM wanted JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id) GROUP BY 1, 2)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::int AS rank, doc_id, score
+FROM scores WHERE score > 0 QUALIFY rank <= 20
+"""
+
 # CRC-32 of a conv_id's digits, bit by bit: the start value, then every bit of every byte from
 # the lowest on.
 _BITS = "flatten(list_transform(string_split(conv_id::varchar, ''), lambda ch: list_transform(range(8), lambda b: (ascii(ch)::bigint >> b) & 1)))"
@@ -124,5 +144,6 @@ ORACLES = {
     "op5_exact_dedup": OP5,
     "op6_substring_dedup": OP6,
     "op7_chat_format": OP7,
+    "op11_lexical_search": OP11,
     "op12_conversation_trie": OP12,
 }

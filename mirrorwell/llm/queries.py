@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mirrorwell.llm import bpe, chat, conversation_trie, exact_dedup, html_text, line_dedup, lm_score, mixing, near_dup, packing, quality, substring_dedup
+from mirrorwell.llm import (bpe, chat, conversation_trie, exact_dedup, html_text, lexical_search, line_dedup,
+                            lm_score, mixing, near_dup, packing, quality, substring_dedup)
 from mirrorwell.llm.common import table
 
 
@@ -77,6 +78,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_texts(pages, html_text.fit(pages))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.conversation_trie(table(spark, sf_dir, "conversations"), openings=True)
 
@@ -95,4 +100,4 @@ def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {q.__name__: q for q in (
     op1_line_dedup, op2_mixing, op3_ngram_jaccard_join, op4_lm_scoring, op5_exact_dedup, op6_substring_dedup, op7_chat_format, op8_quality_rules,
-    op9_best_fit_packing, op10_html_extraction, op12_conversation_trie, op13_bpe)}
+    op9_best_fit_packing, op10_html_extraction, op11_lexical_search, op12_conversation_trie, op13_bpe)}
