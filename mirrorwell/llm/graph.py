@@ -38,6 +38,8 @@ def components(edges: DataFrame, scratch: Scratch, label: str) -> DataFrame:
         step += 1
         links = scratch.keep(stars(links, small=False), f"{label}-large-{step}")
         links = scratch.keep(stars(links, small=True), f"{label}-small-{step}")
+        scratch.drop(f"{label}-least-{step}-False", f"{label}-least-{step}-True", f"{label}-large-{step}",
+                     f"{label}-{step - 1}" if step == 1 else f"{label}-small-{step - 1}")
         state = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state == before:
             break

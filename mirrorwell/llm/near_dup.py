@@ -33,14 +33,14 @@ BAND_RATIO = 1.25
 #: Pieces beyond ``d + 1``, as a share of those.
 SPARE_SHARE = 0.1
 #: Bits of a compared sketch for each shingle; the low bits of a key tell its band.
-SKETCH_BITS = 4
+SKETCH_BITS = 2
 BAND_BITS = 6
 #: Piece keys per bucket that one task holds, about, and members of a key compared at once.
 BUCKET_BYTES = 24 << 20
 BLOCK = 2000
 #: Of the keys a document is compared in, the smallest so many tell which key names a pair. A
 #: pair is always named by the smallest key it shares, by others only if that one is not listed.
-HEAD_KEYS = 32
+HEAD_KEYS = 16
 _U = np.uint64
 _DIGESTS = "doc_id long, n_shingles long, set1 long, set2 long"
 _SKETCHES = "node long, n_shingles long, band int, sketch binary"
@@ -256,6 +256,19 @@ def _set_rows(words: int):
     return run
 
 
+def keys_to_reopen(placed: DataFrame) -> DataFrame:
+    """``(key, blocks)`` of the keys of ``placed`` (``key, node, component``) some of whose pairs
+    are still to be compared: those with members of different components, but for keys of two
+    members, whose one pair was compared as a star. Of keys with the same members in the same
+    band one is enough."""
+    told = placed.groupBy("key").agg(
+        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("members"),
+        F.bit_xor(F.xxhash64("node")).alias("set1"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("set2"))
+    alike = told.where("x <> y and members > 2").groupBy(
+        F.pmod("key", F.lit(1 << BAND_BITS)), "members", "set1", "set2").agg(F.min("key").alias("key"))
+    return alike.select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"))
+
+
 def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, a row per row of ``docs``.
 
@@ -291,6 +304,7 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         hits.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("z"))
         .where("a <> z").select("key", "a"), "firsts")
     hits = scratch.keep(hits.join(firsts, "key").select("key", "a", F.col("node").alias("b")), "stars")
+    scratch.drop("hits", "firsts")
     chosen = scratch.keep(hits.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "chosen")
 
     texts = likely_in(given.withColumnRenamed("doc_id", "node"), chosen, "node")
@@ -311,7 +325,7 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         out = both.select("a", "b", "sa", "sb", common.alias("common")).where(
             100 * F.col("common") >= percent * united).select("a", "b").distinct()
         out = scratch.keep(out, f"{name}-links")
-        scratch.drop(f"{name}-sets")
+        scratch.drop(f"{name}-sets", f"{name}-pairs", f"{name}-wanted")
         return out
 
     near_in = _hamming(percent)
@@ -321,16 +335,15 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     compared = stars.join(a, "a").join(b, "b").where("a_band = b_band").mapInArrow(
         near_in, "a long, b long").distinct()
     links = verified(compared, "first")
+    scratch.drop("pairs")
     comps = scratch.keep(components(links, scratch, "first"), "first-components")
 
     placed = hits.select("key", F.col("b").alias("node")).join(comps, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component"))
     placed = scratch.keep(placed, "placed")
-    open_keys = scratch.keep(
-        placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"),
-                                  F.count("*").alias("members")).where("x <> y")
-        .select("key", F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks")), "open")
+    open_keys = scratch.keep(keys_to_reopen(placed), "open")
     rest = scratch.keep(placed.join(open_keys, "key"), "rest")
+    scratch.drop("stars", "placed", "open")
     heads = scratch.keep(rest.groupBy("node").agg(
         F.slice(F.sort_array(F.collect_set("key")), 1, HEAD_KEYS).alias("heads")), "heads")
     late_facts = scratch.keep(facts.join(heads, "node").withColumn(
@@ -344,6 +357,7 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         .otherwise(1).alias("side"))
     low = F.pmod("key", F.lit(1 << BAND_BITS))
     rest = rest.withColumn("low", low).join(late_facts, ["node", "low"])
+    scratch.drop("facts", "heads")
     late = rest.groupBy("key", "band", "i", "j").applyInArrow(_near_in_group(percent), "a long, b long")
     more = verified(late.distinct().join(links, ["a", "b"], "left_anti"), "second")
     comps = scratch.keep(components(links.unionByName(more), scratch, "second"), "components")

@@ -27,3 +27,17 @@ def test_pairs_of_unlisted_keys_and_of_blocks():
     assert named(50, none) == [(1, 2), (1, 3), (2, 3)]
     assert named(50, none, component=(1, 1, 3)) == [(1, 3), (2, 3)]
     assert named(50, none, side=(0, 1, 1)) == [(1, 2), (1, 3)]
+
+
+def test_keys_to_reopen(spark):
+    """Not those of two members, of one component, or with the members of another key of the band."""
+    def key(number, band):
+        return (number << near_dup.BAND_BITS) | band
+
+    members = {key(1, 0): [1, 2], key(2, 0): [1, 2, 3], key(3, 0): [1, 2, 3], key(4, 1): [1, 2, 3],
+               key(5, 0): [4, 5, 6], key(6, 0): [1, 2, 4]}
+    component = {n: 4 if n > 3 else n for n in range(1, 7)}
+    rows = [(k, n, component[n]) for k, nodes in members.items() for n in nodes]
+    placed = spark.createDataFrame(rows, "key long, node long, component long")
+    found = {r.key for r in near_dup.keys_to_reopen(placed).collect()}
+    assert found == {key(2, 0), key(4, 1), key(6, 0)}
