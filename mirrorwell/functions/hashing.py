@@ -67,8 +67,8 @@ def canonical_columns(df: DataFrame, columns: Sequence[str] | None = None) -> li
     return [canonical(_quoted(c), types[c]).alias(c) for c in columns or df.columns]
 
 
-def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """64-bit hash of a row.
+def row_hash(df: DataFrame, columns: Sequence[str] | None = None, seed: int | None = None) -> Column:
+    """64-bit hash of a row; another one with ``seed``.
 
     ``xxhash64`` passes over NULLs, so which values are NULL is hashed as well.
     Inside nested values it does the same with elements and fields, so those are
@@ -84,7 +84,8 @@ def row_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
         else:
             missing.append(F.isnull(value))
         values.append(value)
-    return F.xxhash64(*values, *missing)
+    first = [] if seed is None else [F.lit(seed)]
+    return F.xxhash64(*first, *values, *missing)
 
 
 def exact_sum(hash_value: Column) -> Column:
@@ -97,10 +98,19 @@ def portable_text(value: Column, dtype: T.DataType) -> Column:
 
     Floating numbers count to the sixth decimal, as whole millionths, so that no
     float formatting is involved. Strings carry their length, so that a separator
-    inside one cannot shift the fields.
+    inside one cannot shift the fields. What is no whole number of 64 bits then is spelled:
+    NaN and the infinities by name, larger values by their digits, from 10^32 on as Spark
+    writes them.
     """
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        text = F.round(value.cast("double") * 1000000).cast("bigint").cast("string")
+        wide = value.cast("double")
+        millionths = F.round(wide * 1000000)
+        odd = (
+            F.when(F.isnan(wide), "NaN").when(wide == float("inf"), "Infinity")
+            .when(wide == float("-inf"), "-Infinity")
+            .otherwise(F.coalesce(millionths.try_cast("decimal(38,0)").cast("string"), wide.cast("string")))
+        )
+        text = F.coalesce(millionths.try_cast("bigint").cast("string"), odd)
     elif isinstance(dtype, (T.TimestampNTZType, T.TimestampType)):
         text = F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
     elif isinstance(dtype, T.StringType):

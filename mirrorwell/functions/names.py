@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
-from datetime import datetime, timezone
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: the trigger statement that fills a column from a sequence,
@@ -40,11 +38,16 @@ def remap_schema(qualified: Column, source: str, target: str) -> Column:
     ).otherwise(qualified)
 
 
-def new_job_id(created: datetime | None = None) -> str:
-    """A name for a job that sorts by its time (UTC) and that no other job has.
+def job_name(at: Column, mark: Column) -> Column:
+    """The name of a job begun ``at`` a UTC time, told from others by the hex ``mark``.
 
-    Fixed format: ``j_``, date, ``_``, time, ``_``, then a part that is unique; here 64
-    random bits, since a version folder carries this name.
+    Fixed format: ``j_``, date, ``_``, time, ``_`` and the mark, so names sort by time.
     """
-    stamp = (created or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
-    return "_".join(("j", stamp, uuid.uuid4().hex[:16]))
+    return F.concat(F.date_format(at, "'j'_yyyyMMdd_HHmmss_"), mark)
+
+
+def new_job_id(spark: SparkSession) -> str:
+    """A name no other job has: a version folder carries it, so 64 bits are random."""
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    mark = F.right(F.replace(F.uuid(), F.lit("-"), F.lit("")), F.lit(16))
+    return spark.range(1).select(job_name(now, mark)).first()[0]

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,8 @@ from mirrorwell.operators.strategy import CHUNK_MB
 from mirrorwell.session import facts_frame
 
 CHUNK = "_chunk"
+# Rows that quantiles are taken from, about.
+SAMPLE_ROWS = 100_000
 _RANGES = T.StructType(
     [
         T.StructField("chunk", T.IntegerType()),
@@ -32,7 +34,8 @@ _RANGES = T.StructType(
 
 @dataclass(frozen=True)
 class LoadContext:
-    """``size_mb`` and ``splits`` describe the scan; ``None`` where unknown."""
+    """``size_mb`` and ``splits`` describe the scan; ``None`` where unknown. ``partition_by``
+    are the target's partition columns, and ``laid_out`` tells that the source has the same."""
 
     df: DataFrame
     path: str
@@ -41,6 +44,16 @@ class LoadContext:
     max_parallel: int = 4
     chunks: int = 4
     chunk_key: tuple[str, ...] = ()
+    partition_by: tuple[str, ...] = ()
+    laid_out: bool = False
+
+
+def _write(ctx: LoadContext, df: DataFrame) -> None:
+    """Write a version in its layout. Rows move only where the source is laid out otherwise:
+    those of a partition come together, a partition too large for one task by several."""
+    if ctx.partition_by and not ctx.laid_out:
+        df = df.hint("rebalance", *ctx.partition_by)
+    df.write.mode("overwrite").partitionBy(*ctx.partition_by).parquet(ctx.path)
 
 
 def direct_copy(ctx: LoadContext) -> None:
@@ -48,7 +61,7 @@ def direct_copy(ctx: LoadContext) -> None:
     df = ctx.df
     if ctx.size_mb is not None:
         df = df.coalesce(max(1, math.ceil(ctx.size_mb / CHUNK_MB)))
-    df.write.mode("overwrite").parquet(ctx.path)
+    _write(ctx, df)
 
 
 def parallel_dml(ctx: LoadContext) -> None:
@@ -57,19 +70,25 @@ def parallel_dml(ctx: LoadContext) -> None:
     df = ctx.df
     if ctx.splits is not None and ctx.splits < ctx.max_parallel:
         df = df.repartition(ctx.max_parallel)
-    df.write.mode("overwrite").parquet(ctx.path)
+    _write(ctx, df)
 
 
 def chunked_staging(ctx: LoadContext) -> None:
-    """Chunks staged side by side; publishing them together is the merge."""
+    """Chunks staged side by side; publishing them together is the merge. A table with
+    partitions has them for chunks."""
+    if ctx.partition_by:
+        _write(ctx, ctx.df)
+        return
     df = with_chunks(ctx.df, ctx.chunks, ctx.chunk_key, ctx.splits)
     df.write.mode("overwrite").partitionBy(CHUNK).parquet(ctx.path)
 
 
 def partition_exchange(ctx: LoadContext) -> None:
-    raise ValueError(
-        "partition_exchange replaces partitions in place: call exchange_partitions"
-    )
+    """The partitions the source has rows of, to be published in place of those the target
+    has; its others stay."""
+    if not ctx.partition_by:
+        raise ValueError("partition_exchange needs a partitioned table")
+    _write(ctx, ctx.df)
 
 
 Strategy = Callable[[LoadContext], None]
@@ -160,6 +179,59 @@ def range_chunk_counts(df: DataFrame, key: str, chunks: int) -> DataFrame:
     )
 
 
+def equi_depth_bounds(df: DataFrame, key: Sequence[str], chunks: int, sample: int = SAMPLE_ROWS) -> list:
+    """Keys at which chunks of about equal numbers of rows begin, but for the first.
+
+    ``key`` is any columns that can be ordered, compared as a tuple with NULL lowest. The
+    cut points are quantiles of the keys, counted in Spark; of a table of more rows than
+    ``sample`` about so many rows, chosen by the hash of their address, stand for all (the
+    chunks take every row either way). A key value with a chunk's share of rows or more
+    begins and ends a chunk of its own, so there may be up to ``2 * chunks``; no other
+    chunk is above twice the mean, within the sample's error.
+    """
+    rows = df.count()
+    taken = df
+    if rows > sample:
+        every = -(-rows // sample)
+        try:
+            taken = df.where(F.pmod(F.xxhash64(*row_address()), F.lit(every)) == 0)
+            taken.schema
+        except AnalysisException:  # no file behind the rows
+            taken = df.where(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(every)) == 0)
+    counted = taken.groupBy(_key_tuple(key).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    # one row per sampled key value at most
+    order = Window.orderBy("k")
+    placed = counted.withColumn("before", F.sum("n").over(order) - F.col("n")).withColumn(
+        "total", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    part = F.floor(F.col("before") * chunks / F.col("total"))
+    placed = placed.withColumn("part", part).withColumn("last", F.lag("part").over(order))
+    heavy = F.col("n") * chunks >= F.col("total")
+    found = placed.where(F.col("last").isNotNull() & (heavy | (F.col("part") > F.col("last"))))
+    return [r.k for r in found.orderBy("k").select("k").collect()]
+
+
+def _key_tuple(key: Sequence[str]) -> Column:
+    return F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(key)])
+
+
+def depth_chunk(df: DataFrame, key: Sequence[str], bounds: Sequence) -> Column:
+    """The number of a row's chunk among ``bounds``, found by halving."""
+    types = [df.schema[c].dataType for c in key]
+    tuples = [
+        F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(bound, types))])
+        for bound in bounds
+    ]
+
+    def within(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high + 1) // 2
+        return F.when(_key_tuple(key) >= tuples[middle - 1], within(middle, high)).otherwise(
+            within(low, middle - 1))
+
+    return within(0, len(tuples))
+
+
 def copy_by_range(df: DataFrame, path: str, key: str, chunks: int) -> None:
     """Range chunks on a key: each output file holds one stretch of the key, which
     later reads can skip by its statistics. The cut points follow the data; rows of

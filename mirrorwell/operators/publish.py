@@ -4,18 +4,25 @@ A load writes ``<root>/tables/<TABLE>/v=<job>/`` and touches nothing else.
 Publishing appends one file of rows to ``<root>/manifest``; a file appears whole
 or not at all, so all tables named in it switch together. Until then, and for
 good if a check fails, readers keep the version they had. One writer per target.
+
+A version is one manifest row. A table whose partitions were exchanged has one row per
+partition instead, each naming the version that holds it: untouched partitions are
+carried over by reference, and nothing is copied or changed in place.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mirrorwell.session import facts_frame, path_exists, remove_path
+from mirrorwell.session import facts_frame, materialize, path_exists, remove_path, work_dir
+from mirrorwell.sources.files import qualified
 
 MANIFEST = T.StructType(
     [
@@ -26,10 +33,25 @@ MANIFEST = T.StructType(
         T.StructField("version_path", T.StringType()),
         T.StructField("rows", T.LongType()),
         T.StructField("schema_json", T.StringType()),
+        T.StructField("partition_columns", T.ArrayType(T.StringType())),
+        T.StructField("partition", T.StringType()),
     ]
 )
 
 
+@dataclass(frozen=True)
+class Version:
+    """What a load wrote. ``exchange`` replaces only the partitions it has rows of;
+    without a path the table is empty."""
+
+    table: str
+    path: str | None
+    rows: int | None
+    schema: T.StructType
+    partition_columns: tuple[str, ...] = ()
+    exchange: bool = False
+
+
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """An append-only table; empty if nothing has been written yet."""
     if not path_exists(spark, path):
@@ -65,9 +87,35 @@ class Target:
         return read_log(self.spark, f"{self.root}/manifest", MANIFEST)
 
     def current(self) -> DataFrame:
-        """The published version of every table."""
-        newest = F.max_by(F.struct(*MANIFEST.names), "seq").alias("newest")
-        return self.manifest().groupBy("table_name").agg(newest).select("newest.*")
+        """What is published of every table: as the manifest, but one row per table, with the
+        number of its ``parts``; a table kept by partitions has no single ``version_path``."""
+        same = ("published_at", "job_id", "schema_json", "partition_columns")
+        told = self.manifest().groupBy("table_name", "seq").agg(
+            *[F.any_value(c).alias(c) for c in same],
+            F.sum("rows").alias("rows"), F.count("partition").alias("parts"),
+            F.max(F.when(F.col("partition").isNull(), F.col("version_path"))).alias("version_path"),
+        )
+        newest = F.max_by(F.struct(*told.columns), "seq").alias("newest")
+        return told.groupBy("table_name").agg(newest).select("newest.*")
+
+    def parts(self, entry) -> DataFrame:
+        """``(partition, version_path, rows)`` of a published table with partitions."""
+        if entry.parts:
+            of_table = (F.col("table_name") == entry.table_name) & (F.col("seq") == entry.seq)
+            return self.manifest().where(of_table).select("partition", "version_path", "rows")
+        schema = T.StructType.fromJson(json.loads(entry.schema_json))
+        return self.written_parts(entry.version_path, schema, len(entry.partition_columns))
+
+    def written_parts(self, path: str, schema: T.StructType, depth: int) -> DataFrame:
+        """``(partition, version_path, rows)`` of a version written by ``depth`` partition
+        columns, from its footers."""
+        root = qualified(self.spark, path)
+        # a file's address is escaped once more than its name
+        name = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        found = self.spark.read.schema(schema).parquet(path).groupBy(
+            F.regexp_extract(name, f"/((?:[^/=]+=[^/]*/){{{depth}}})[^/]*$", 1).alias("partition"))
+        return found.agg(F.count(F.lit(1)).alias("rows")).select(
+            F.rtrim("partition", F.lit("/")).alias("partition"), F.lit(root).alias("version_path"), "rows")
 
     def entry(self, table: str):
         rows = self.current().where(F.col("table_name") == table).collect()
@@ -76,48 +124,94 @@ class Target:
     def entries(self) -> dict:
         return {r.table_name: r for r in self.current().collect()}
 
-    def read(self, table: str, entry=None) -> DataFrame:
+    def read(self, table: str, entry=None, written_to: str | None = None) -> DataFrame:
+        """A published table; with ``written_to`` only the partitions that version holds."""
         entry = entry or self.entry(table)
         if entry is None:
             raise KeyError(f"{table} has not been published in {self.root}")
         schema = T.StructType.fromJson(json.loads(entry.schema_json))
+        if entry.parts:
+            parts = self.parts(entry)
+            if written_to is not None:
+                parts = parts.where(F.col("version_path") == qualified(self.spark, written_to))
+            return self._read_parts(parts, schema)
+        if entry.version_path is None:
+            return facts_frame(self.spark, [], schema)
         return self.read_version(entry.version_path, schema)
 
+    def _read_parts(self, parts: DataFrame, schema: T.StructType) -> DataFrame:
+        """The partitions' folders, named one by one, as a scan per version that holds some:
+        filters on partition columns still leave out folders."""
+        by_version: dict[str, list[str]] = {}
+        for r in parts.select("version_path", "partition").collect():
+            by_version.setdefault(r.version_path, []).append(f"{r.version_path}/{r.partition}")
+        if not by_version:
+            return facts_frame(self.spark, [], schema)
+        frames = [
+            self.spark.read.schema(schema).option("basePath", root).parquet(*sorted(folders))
+            .select(*[f"`{n}`" for n in schema.names])
+            for root, folders in sorted(by_version.items())
+        ]
+        return reduce(DataFrame.unionByName, frames)
+
     def read_version(self, path: str, schema: T.StructType) -> DataFrame:
         """A version's rows, without the chunk number of a staged load."""
         return self.spark.read.schema(schema).parquet(path).select(*[f"`{n}`" for n in schema.names])
 
-    def publish(self, job_id: str, versions: Iterable[tuple[str, str, int, T.StructType]]) -> None:
-        """Make ``(table, path, rows, schema)`` current, all at the same moment."""
-        versions = list(versions)
+    def publish(self, job_id: str, versions: Iterable[Version | tuple]) -> None:
+        """Make versions (``Version`` or its first fields) current, all at the same moment.
+
+        An exchange keeps the partitions it has no rows of; where there are none to keep, or
+        the table was laid out otherwise, it is a version like any other.
+        """
+        versions = [v if isinstance(v, Version) else Version(*v) for v in versions]
         if not versions:
             return
         last = self.manifest().agg(F.max("seq")).first()[0] or 0
-        rows = [
-            {
-                "seq": last + 1,
-                "job_id": job_id,
-                "table_name": table,
-                "version_path": path,
-                "rows": count,
-                "schema_json": schema.json(),
+        entries = self.entries() if any(v.exchange for v in versions) else {}
+        rows, parts = [], []
+        for v in versions:
+            row = {
+                "seq": last + 1, "job_id": job_id, "table_name": v.table, "version_path": v.path,
+                "rows": v.rows, "schema_json": v.schema.json(),
+                "partition_columns": list(v.partition_columns) or None,
             }
-            for table, path, count, schema in versions
+            before = entries.get(v.table)
+            if v.exchange and before is not None and _same_layout(before, v):
+                parts.append(self._exchanged(row, v, before))
+            else:
+                rows.append(row)
+        if not parts:
+            append_log(self.spark, f"{self.root}/manifest", rows, MANIFEST, ["published_at"])
+            return
+        whole = facts_frame(self.spark, [{n: r.get(n) for n in MANIFEST.names} for r in rows], MANIFEST)
+        added = reduce(DataFrame.unionByName, parts, whole).withColumn("published_at", F.current_timestamp())
+        added.coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
+
+    def _exchanged(self, row: dict, version: Version, before) -> DataFrame:
+        """Manifest rows of a table some of whose partitions were replaced."""
+        new = materialize(self.written_parts(version.path, version.schema, len(version.partition_columns)), work_dir(self.spark, "parts"))
+        kept = self.parts(before).join(new.select("partition"), "partition", "left_anti")
+        constant = {n: row.get(n) for n in MANIFEST.names if n not in new.columns}
+        return kept.unionByName(new).select("*", *[
+            F.array(*map(F.lit, v)).alias(n) if isinstance(v, list)
+            else F.lit(v).cast(MANIFEST[n].dataType).alias(n)
+            for n, v in constant.items()
+        ]).select(*MANIFEST.names)
+
+    def create_missing(
+        self, shapes: Mapping[str, T.StructType], job_id: str,
+        layouts: Mapping[str, Sequence[str]] | None = None,
+    ) -> list[str]:
+        """Publish an empty table for every shape that has no table yet, with the partition
+        columns given for it; the names of those created. Nothing but the manifest is written."""
+        known, layouts = self.entries(), layouts or {}
+        created = [
+            Version(table, None, 0, schema, tuple(layouts.get(table, ())))
+            for table, schema in shapes.items() if table not in known
         ]
-        append_log(self.spark, f"{self.root}/manifest", rows, MANIFEST, ["published_at"])
-
-    def create_missing(self, shapes: Mapping[str, T.StructType], job_id: str) -> list[str]:
-        """Publish an empty table for every shape that has no table yet; the names
-        of those created."""
-        known = self.entries()
-        created = []
-        for table, schema in shapes.items():
-            if table not in known:
-                path = self.version_path(table, job_id)
-                facts_frame(self.spark, [], schema).coalesce(1).write.mode("overwrite").parquet(path)
-                created.append((table, path, 0, schema))
         self.publish(job_id, created)
-        return [table for table, *_ in created]
+        return [v.table for v in created]
 
     def discard(self, table: str, job_id: str) -> bool:
         """Remove a version that was never published. Best effort."""
@@ -127,6 +221,15 @@ class Target:
         return path_exists(self.spark, path) and remove_path(self.spark, path)
 
 
+def _same_layout(entry, version: Version) -> bool:
+    """Whether partitions of ``version`` can stand beside those that are published."""
+    return (
+        (entry.parts > 0 or entry.version_path is not None)
+        and tuple(entry.partition_columns or ()) == version.partition_columns != ()
+        and T.StructType.fromJson(json.loads(entry.schema_json)).names == version.schema.names
+    )
+
+
 def empty_clone(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """No rows, same columns."""
     return df.select(*(columns or df.columns)).limit(0)

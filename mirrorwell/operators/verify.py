@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from mirrorwell.functions.hashing import HASHES, canonical_columns, exact_sum, row_hash
 from mirrorwell.operators.orphans import key_columns
+from mirrorwell.session import materialize, work_dir
 
 Frames = Mapping[str, DataFrame]
 
@@ -91,10 +92,12 @@ def _same(left: str, right: str) -> Column:
     return F.coalesce(F.col(left) == F.col(right), F.lit(False))
 
 
-def sample_filter(df: DataFrame, every: int, key: Sequence[str] = ()) -> Column:
+def sample_filter(
+    df: DataFrame, every: int, key: Sequence[str] = (), hash_name: str = "xxhash64"
+) -> Column:
     """About one row in ``every``, the same rows on both sides: chosen by the hash
     of the key, or of the whole row, not by position."""
-    chosen = F.xxhash64(*key_columns(key)) if key else row_hash(df)
+    chosen = HASHES[hash_name](df, list(key) or None)
     return F.pmod(chosen, F.lit(every)) == 0
 
 
@@ -102,10 +105,13 @@ def diff(source: DataFrame, target: DataFrame, buckets: int = DIFF_BUCKETS) -> D
     """The rows that differ: the columns, ``side`` (which table has more of the
     row) and ``copies`` (how many more).
 
-    First both tables are reduced to one hash sum per bucket of row hashes. Only
-    rows of buckets that differ are then compared one by one, so equal tables
-    shuffle nothing but ``buckets`` sums. Equal rows are counted before they move;
-    a row repeated a billion times travels once per task.
+    Ever fewer rows are looked at ever more closely. Both tables are reduced to one hash
+    sum per bucket of row hashes, so equal tables shuffle nothing but ``buckets`` sums.
+    Within buckets that differ two hashes of each row and a signed count move, 24 bytes,
+    so changes all over the tables do not move the rows beside them. Whole rows move only
+    where the counts do not cancel out. Equal rows are counted before they move; a row
+    repeated a billion times travels once per task. Two different rows are taken for one
+    if both their 64-bit hashes agree.
     """
     columns = source.columns
     target = target.select(*[f"`{c}`" for c in columns])
@@ -119,8 +125,17 @@ def diff(source: DataFrame, target: DataFrame, buckets: int = DIFF_BUCKETS) -> D
     )
     # at most `buckets` integers
     suspects = both.withColumn("_bucket", bucket).join(F.broadcast(off), "_bucket", "left_semi")
+    hashes = (
+        suspects.groupBy("_hash", "_other")
+        .agg(F.sum("_sign").alias("_more"))
+        .where("_more != 0")
+        .select("_hash", "_other")
+    )
+    # written, so that its size decides how the rows are met
+    hashes = materialize(hashes, work_dir(source.sparkSession, "differing"))
     return (
-        suspects.groupBy(*[f"`{c}`" for c in columns])
+        suspects.join(hashes, ["_hash", "_other"], "left_semi")
+        .groupBy(*[f"`{c}`" for c in columns])
         .agg(F.sum("_sign").alias("more"))
         .where("more != 0")
         .select(
@@ -133,7 +148,8 @@ def diff(source: DataFrame, target: DataFrame, buckets: int = DIFF_BUCKETS) -> D
 
 def _tagged(df: DataFrame, sign: int) -> DataFrame:
     return df.select(
-        *canonical_columns(df), row_hash(df).alias("_hash"), F.lit(sign).cast("bigint").alias("_sign")
+        *canonical_columns(df), row_hash(df).alias("_hash"), row_hash(df, seed=1).alias("_other"),
+        F.lit(sign).cast("bigint").alias("_sign"),
     )
 
 

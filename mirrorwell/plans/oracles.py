@@ -92,10 +92,20 @@ FROM s JOIN t USING (table_name)"""
 
 
 _SAMPLE_KEYS = {
+    "region": ["r_regionkey"],
+    "nation": ["n_nationkey"],
+    "customer": ["c_custkey"],
+    "supplier": ["s_suppkey"],
+    "part": ["p_partkey"],
     "orders": ["o_orderkey"],
     "lineitem": ["l_orderkey", "l_linenumber"],
-    "documents": ["doc_id"],
     "events": ["event_id"],
+    "documents": ["doc_id"],
+    "embeddings": ["vec_id"],
+    "pages": ["page_id"],
+    "benchmark": ["item_id"],
+    "labels": ["doc_id"],
+    "conversations": ["conv_id", "turn"],
 }
 
 _TENANTS = """
@@ -210,16 +220,16 @@ def _filled(extra: str = "") -> str:
     )
 
 
-def _commit(seen_customer: str, seen_part: str) -> str:
+def _commit(seen_customer: str, seen_part: str, good: str = "ok") -> str:
     orders = "SELECT count(*) FROM orders"
     return f"""
-SELECT 'CUSTOMER' AS table_name, 'ok' AS status, (SELECT count(*) FROM customer) AS rows_source,
+SELECT 'CUSTOMER' AS table_name, '{good}' AS status, (SELECT count(*) FROM customer) AS rows_source,
        (SELECT count(*) FROM customer) AS rows_target, ({seen_customer}) AS rows_seen
 UNION ALL
 SELECT 'ORDERS', 'failed', ({orders}), ({orders} WHERE o_orderstatus <> 'O'),
        ({orders} WHERE o_orderstatus = 'F')
 UNION ALL
-SELECT 'PART', 'ok', (SELECT count(*) FROM part), (SELECT count(*) FROM part), ({seen_part})"""
+SELECT 'PART', '{good}', (SELECT count(*) FROM part), (SELECT count(*) FROM part), ({seen_part})"""
 
 
 def _plan_row(ordinal: int, table: str, level: int, requested: bool = False) -> str:
@@ -245,6 +255,7 @@ ORACLES = {
     "copy_ranged": "SELECT * FROM events",
     "merge_chunks": "SELECT * FROM events",
     "copy_recreate": "SELECT * FROM customer",
+    "copy_partitioned": "SELECT *, 'o_orderstatus' AS laid_out_by FROM orders",
     "copy_partition_overwrite": "SELECT * REPLACE (CASE WHEN o_orderstatus = 'F' THEN 'REVISED' "
     "ELSE o_orderpriority END AS o_orderpriority) FROM orders",
     "create_like": _filled(", CAST(0 AS BIGINT) AS filled_clone"),
@@ -256,7 +267,7 @@ ORACLES = {
         f"SELECT '{t}' AS table_name, count(*) AS rows, FALSE AS partitioned, "
         f"{t == 'embeddings'} AS wide, FALSE AS refused FROM {t}"
         for t in COLUMNS
-    ),
+    ) + "\nUNION ALL\nSELECT 'orders_by_status', count(*), TRUE, FALSE, FALSE FROM orders",
     "column_catalog": _filled(),
     "chunk_counts": f"SELECT CAST({_row_hash('lineitem', ['l_orderkey', 'l_linenumber'])} % 8 AS INT) "
     "AS chunk, count(*) AS rows FROM lineitem GROUP BY 1",
@@ -269,6 +280,8 @@ b AS (SELECT CAST(i AS INT) AS chunk, low + i * width AS lower, low + (i + 1) *
       FROM w, range(8) r(i))
 SELECT chunk, lower, upper,
        (SELECT count(*) FROM orders WHERE o_orderkey >= lower AND o_orderkey < upper) AS rows FROM b""",
+    "chunk_depths": "SELECT count(*) AS rows, CAST(sum(o_orderkey) AS BIGINT) AS keys, "
+    "CAST(0 AS BIGINT) AS crowded, CAST(0 AS BIGINT) AS overlapping, TRUE AS as_many FROM orders",
     "project_drift": "SELECT c_name, CAST(c_custkey AS DECIMAL(20,0)) AS c_custkey, 'none' AS grade, "
     "c_acctbal, CAST(NULL AS INTEGER) AS checked FROM customer",
     "fk_edges": f"WITH {_TENANTS} SELECT * FROM edges",
@@ -283,13 +296,7 @@ walk AS (
   FROM edges e JOIN walk w ON e.child_owner = w.owner AND e.child_table = w.table_name)
 SELECT owner, table_name, min(depth) AS depth FROM walk GROUP BY 1, 2""",
     "load_order": f"WITH RECURSIVE {_TENANTS}, {_LEVELS.format(nodes='tables', edges='edges')}",
-    "truncate_order": f"""
-WITH RECURSIVE {_TENANTS},
-chosen AS (SELECT DISTINCT owner, table_name FROM keys WHERE status = 'DISABLED'),
-inner_edges AS (
-  SELECT * FROM edges WHERE (child_owner, child_table) IN (SELECT (owner, table_name) FROM chosen)
-  AND (parent_owner, parent_table) IN (SELECT (owner, table_name) FROM chosen)),
-{_LEVELS.format(nodes='chosen', edges='inner_edges')}""",
+    "truncate_order": f"WITH RECURSIVE {_TENANTS}, {_LEVELS.format(nodes='tables', edges='edges')}",
     "fk_cycles": f"""
 WITH RECURSIVE {_TENANTS},
 all_edges AS (
@@ -335,6 +342,19 @@ SELECT *, 'source' AS side, count(*) AS copies FROM lost GROUP BY ALL
 UNION ALL
 SELECT *, 'target' AS side, count(*) AS copies FROM extra GROUP BY ALL""",
     "fk_orphans": _union(_orphans(*fk) for fk in _FOREIGN_KEYS),
+    "fk_cross_schema": _union(
+        f"""
+SELECT 'FK_{child.upper()}_{parent.upper()}' AS constraint_name, '{child.upper()}' AS child_table,
+       'COMMON.{parent.upper()}' AS parent_table, count(*) AS orphan_rows,
+       count(DISTINCT {column}) AS orphan_values, count(*) = 0 AS valid
+FROM {child} WHERE {column} IS NOT NULL
+AND {column} NOT IN (SELECT {key} FROM {parent} WHERE {kept})"""
+        for child, column, parent, key, kept in (
+            ("orders", "o_custkey", "customer", "c_custkey", "c_acctbal >= 0"),
+            ("events", "user_id", "customer", "c_custkey", "c_acctbal >= 0"),
+            ("supplier", "s_nationkey", "nation", "n_nationkey", "TRUE"),
+        )
+    ),
     "run_outcome": f"""
 WITH r AS ({_COMPARE_ROWS})
 SELECT count(*) AS tables,
@@ -418,6 +438,7 @@ WHERE job_id NOT IN (SELECT job_id FROM last_status WHERE status = 'FAILED')""",
     "commit_deferred": _commit(
         "SELECT count(*) FROM customer WHERE c_acctbal < 0",
         "SELECT count(*) FROM part WHERE p_size = 1",
+        "rolled back",
     ),
     "refresh_orders": _union(
         f"SELECT '{t.upper()}' AS table_name, {level} AS level, count(*) AS rows_source, "

@@ -23,6 +23,8 @@ from mirrorwell.operators.load import (
     chunk_counts,
     chunk_of,
     copy_by_range,
+    depth_chunk,
+    equi_depth_bounds,
     exchange_partitions,
     merge_chunks,
     range_chunk_counts,
@@ -155,15 +157,39 @@ def copy_recreate(spark, sf_dir):
     return Target(spark, root).read("CUSTOMER")
 
 
+def _partitioned_source(spark: SparkSession, df: DataFrame, name: str, column: str) -> FileSource:
+    """A source that keeps ``df`` in a folder for each value of ``column``."""
+    root = work_dir(spark, "laid-out")
+    exchange_partitions(df, f"{root}/{name}.parquet", [column])
+    return FileSource(root)
+
+
+@query
+def copy_partitioned(spark, sf_dir):
+    """A partitioned table: pinned, copied and published in the layout it has."""
+    orders = table(spark, sf_dir, "orders")
+    source = _partitioned_source(spark, orders, "orders", "o_orderstatus")
+    root = work_dir(spark, "partitioned")
+    config = RefreshConfig(OWNER, "TGT", "orders", verify="hash")
+    refresh.copy_tables(spark, source, root, config)
+    entry = Target(spark, root).entry("ORDERS")
+    layout = F.lit(",".join(entry.partition_columns or []))
+    return Target(spark, root).read("ORDERS", entry).select(*orders.columns, layout.alias("laid_out_by"))
+
+
 @query
 def copy_partition_overwrite(spark, sf_dir):
-    """Replace one partition; the others stay as they were."""
-    path = work_dir(spark, "exchange")
+    """A run that brings one partition: it takes the old one's place when it is published,
+    the others stay as they were."""
+    root = work_dir(spark, "exchange")
     orders = table(spark, sf_dir, "orders")
-    exchange_partitions(orders, path, ["o_orderstatus"])
+    first = _partitioned_source(spark, orders, "orders", "o_orderstatus")
+    refresh.copy_tables(spark, first, root, RefreshConfig(OWNER, "TGT", "orders"))
     revised = orders.where("o_orderstatus = 'F'").withColumn("o_orderpriority", F.lit("REVISED"))
-    exchange_partitions(revised, path, ["o_orderstatus"])
-    return spark.read.schema(orders.schema).parquet(path)
+    second = _partitioned_source(spark, revised, "orders", "o_orderstatus")
+    exchange = RefreshConfig(OWNER, "TGT", "orders", strategy=STRATEGIES[3], verify="hash")
+    refresh.copy_tables(spark, second, root, exchange)
+    return Target(spark, root).read("ORDERS").select(*orders.columns)
 
 
 @query
@@ -216,13 +242,22 @@ def snapshot_pin(spark, sf_dir):
 
 @query
 def table_profile(spark, sf_dir):
-    profiles = catalog.table_profiles(spark, all_tables(spark, sf_dir))
+    """All tables, and one kept in a folder for each status."""
+    frames = all_tables(spark, sf_dir)
+    source = _partitioned_source(spark, frames["orders"], "orders", "o_orderstatus")
+    snapshot = Snapshot.capture(source, spark, ["ORDERS"], work_dir(spark, "pins"))
+    frames["orders_by_status"] = snapshot.read("ORDERS")
+    laid_out = ["orders_by_status"] if snapshot.partition_columns("ORDERS") else []
+    profiles = catalog.table_profiles(spark, frames, partitioned=laid_out)
     return profiles.select("table_name", "rows", "partitioned", "wide", "refused")
 
 
 @query
 def column_catalog(spark, sf_dir):
-    return catalog.column_counts(all_tables(spark, sf_dir))
+    """The columns in declaration order, and how many values each has."""
+    frames = all_tables(spark, sf_dir)
+    return catalog.column_catalog(spark, frames).join(
+        catalog.column_counts(frames), ["table_name", "column_id", "column_name", "data_type"], "left")
 
 
 @query
@@ -249,6 +284,29 @@ def chunk_ranges(spark, sf_dir):
     return range_chunk_counts(table(spark, sf_dir, "orders"), "o_orderkey", 8)
 
 
+@query
+def chunk_depths(spark, sf_dir):
+    """Chunks of equal depth on a text and a number, a third of the rows with one value: how
+    many hold too much though no one value forces it, and how many reach into the next."""
+    orders = table(spark, sf_dir, "orders")
+    hot = F.col("o_orderkey") % 3 == 0
+    df = orders.select(
+        "o_orderkey", F.when(hot, "3-HOT").otherwise(F.col("o_orderpriority")).alias("priority"),
+        F.when(hot, 7).otherwise(F.col("o_custkey")).alias("customer"))
+    key = ["priority", "customer"]
+    chunk = depth_chunk(df, key, equi_depth_bounds(df, key, 8))
+    pair = F.struct(*key)
+    counts = df.groupBy(chunk.alias("chunk")).agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("o_orderkey").alias("keys"),
+        F.min(pair).alias("low"), F.max(pair).alias("high"))
+    following = counts.select((F.col("chunk") - 1).alias("chunk"), F.col("low").alias("next"))
+    crowded = (F.col("rows") > 2 * df.count() / 8) & (F.col("low") != F.col("high"))
+    return counts.join(following, "chunk", "left").agg(
+        F.sum("rows").alias("rows"), F.sum("keys").alias("keys"),
+        F.count_if(crowded).alias("crowded"), F.count_if(F.col("next") <= F.col("high")).alias("overlapping"),
+        F.count(F.lit(1)).between(4, 16).alias("as_many"))
+
+
 @query
 def project_drift(spark, sf_dir):
     target = T.StructType(
@@ -303,11 +361,10 @@ def load_order(spark, sf_dir):
 
 @query
 def truncate_order(spark, sf_dir):
-    """Children first, among the tables of months with a pending order."""
+    """Children first, over all tables."""
     constraints = derived.tenant_constraints(spark, sf_dir)
-    chosen = constraints.where("status = 'DISABLED'").select("owner", "table_name").distinct()
-    edges = graph.edges_within(graph.fk_edges(constraints), chosen)
-    return graph.truncate_order(graph.fk_levels(edges, chosen))
+    levels = graph.fk_levels(graph.fk_edges(constraints), derived.tables_of(constraints))
+    return graph.truncate_order(levels)
 
 
 @query
@@ -394,22 +451,23 @@ def verify_hash_fast(spark, sf_dir):
 
 
 SAMPLE_KEYS = {
-    "orders": ["o_orderkey"],
+    **PRIMARY_KEYS,
     "lineitem": ["l_orderkey", "l_linenumber"],
-    "documents": ["doc_id"],
-    "events": ["event_id"],
+    "embeddings": ["vec_id"],
+    "pages": ["page_id"],
+    "benchmark": ["item_id"],
+    "labels": ["doc_id"],
 }
 
 
 @query
 def verify_sample(spark, sf_dir):
-    frames = {t: table(spark, sf_dir, t) for t in SAMPLE_KEYS}
+    """Every tenth key of every table, by the sample filter of a run."""
+    frames = all_tables(spark, sf_dir)
     samples = {
-        t: F.pmod(portable_row_hash(df, SAMPLE_KEYS[t]), F.lit(10)) == 0
-        for t, df in frames.items()
+        t: verify.sample_filter(df, 10, SAMPLE_KEYS[t], hash_name="md5") for t, df in frames.items()
     }
-    altered = {t: df for t, df in _alterations(all_tables(spark, sf_dir)).items() if t in frames}
-    return _as_text(verify.compare_content(frames, altered, samples, hash_name="md5"))
+    return _as_text(verify.compare_content(frames, _alterations(frames), samples, hash_name="md5"))
 
 
 @query
@@ -439,6 +497,28 @@ def fk_orphans(spark, sf_dir):
     return verify._stack(parts)
 
 
+@query
+def fk_cross_schema(spark, sf_dir):
+    """Keys of one schema's tables to tables of another, which is read and not loaded: orders
+    of all customers, where the other schema lacks those in debt, and what it says of nations."""
+    other = work_dir(spark, "common")
+    table(spark, sf_dir, "customer").where("c_acctbal >= 0").write.parquet(f"{other}/customer.parquet")
+    table(spark, sf_dir, "nation").write.parquet(f"{other}/nation.parquet")
+    rows = [
+        catalog.primary_key("COMMON", "CUSTOMER", ["c_custkey"]),
+        catalog.primary_key("COMMON", "NATION", ["n_nationkey"]),
+        catalog.foreign_key(OWNER, "ORDERS", ["o_custkey"], "CUSTOMER", "COMMON"),
+        catalog.foreign_key(OWNER, "EVENTS", ["user_id"], "CUSTOMER", "COMMON"),
+        catalog.foreign_key(OWNER, "SUPPLIER", ["s_nationkey"], "NATION", "COMMON"),
+    ]
+    config = RefreshConfig(OWNER, "TGT", "orders, events, supplier")
+    result = refresh.copy_tables(
+        spark, FileSource(sf_dir), work_dir(spark, "cross"), config,
+        facts_frame(spark, rows, catalog.CONSTRAINTS), schemas={"COMMON": FileSource(other)},
+    )
+    return result.foreign_keys
+
+
 @query
 def run_outcome(spark, sf_dir):
     frames = all_tables(spark, sf_dir)

@@ -28,9 +28,9 @@ from mirrorwell.operators.catalog import CONSTRAINTS, PROFILE, table_profiles
 from mirrorwell.operators.load import STRATEGY_FUNCTIONS, LoadContext
 from mirrorwell.operators.orphans import ForeignKey, check_foreign_keys, orphan_keys
 from mirrorwell.operators.project import check_writable, project_to_target
-from mirrorwell.operators.publish import Target
+from mirrorwell.operators.publish import Target, Version
 from mirrorwell.operators.strategy import REFUSED, with_strategy
-from mirrorwell.session import SMALL_STATE, facts_frame, work_dir
+from mirrorwell.session import SMALL_STATE, facts_frame, path_exists, work_dir
 from mirrorwell.sources.base import Source, SnapshotTooOld, present
 from mirrorwell.sources.files import Snapshot
 
@@ -87,6 +87,25 @@ _COMPARED = T.StructType(
 )
 
 
+@dataclass(frozen=True)
+class Parent:
+    """A table of another schema that keys refer to. It is read, never loaded."""
+
+    table: str
+    source: Source
+    snapshot: Snapshot | None
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return _read_at(spark, self.source, self.snapshot, self.table)
+
+
+def _read_at(spark: SparkSession, source: Source, snapshot: Snapshot | None, table: str) -> DataFrame:
+    if snapshot is None:
+        return source.read(spark, table)
+    kind = getattr(source, "format", "parquet")
+    return snapshot.read(table, kind, **getattr(source, "options", {}))
+
+
 @dataclass
 class Plan:
     """``rows`` holds one line of facts per table, parents first."""
@@ -101,6 +120,7 @@ class Plan:
     constraints: list
     recorded: bool
     entries: dict = field(default_factory=dict)
+    parents: dict[str, Parent] = field(default_factory=dict)
     _sources: dict[str, DataFrame] = field(default_factory=dict)
 
     @property
@@ -113,15 +133,9 @@ class Plan:
 
     def read_source(self, table: str) -> DataFrame:
         if table not in self._sources:
-            self._sources[table] = self._read_source(table)
+            self._sources[table] = _read_at(self.spark, self.source, self.snapshot, table)
         return self._sources[table]
 
-    def _read_source(self, table: str) -> DataFrame:
-        if self.snapshot is None:
-            return self.source.read(self.spark, table)
-        kind = getattr(self.source, "format", "parquet")
-        return self.snapshot.read(table, kind, **getattr(self.source, "options", {}))
-
     def shape(self, table: str) -> T.StructType:
         """The schema the target will have: its own, or the source's if there is
         no target yet or it is to be re-created."""
@@ -130,19 +144,30 @@ class Plan:
             return self.read_source(table).schema
         return T.StructType.fromJson(json.loads(entry.schema_json))
 
+    def source_layout(self, table: str) -> tuple[str, ...]:
+        return self.snapshot.partition_columns(table) if self.snapshot is not None else ()
+
+    def layout(self, table: str) -> tuple[str, ...]:
+        """Partition columns the target will have: its own, or the source's if there is no
+        target yet or it is to be re-created."""
+        entry = self.entries.get(table)
+        if entry is None or self.config.recreate_tables:
+            return self.source_layout(table)
+        return tuple(entry.partition_columns or ())
+
     def projected(self, table: str) -> DataFrame:
         defaults = self.config.defaults.get(table)
         return project_to_target(self.read_source(table), self.shape(table), defaults)
 
     def primary_key(self, table: str) -> tuple[str, ...]:
         for c in self.constraints:
-            if c.constraint_type == "P" and c.table_name == table:
+            if c.constraint_type == "P" and c.table_name == table and c.owner == self.config.source_schema:
                 return tuple(c.columns)
         return ()
 
     def foreign_keys(self, tables: Sequence[str]) -> list[ForeignKey]:
-        """Enabled keys of ``tables``. A key to another schema names as its parent what
-        it refers to there; no table of the job has that name."""
+        """Enabled keys of ``tables``. The parent of a key to another schema is named with
+        that schema, or by what the key refers to there if that is not declared."""
         keys = {(c.owner, c.constraint_name): c for c in self.constraints
                 if c.constraint_type in ("P", "U")}
         found = []
@@ -150,10 +175,12 @@ class Plan:
             if c.constraint_type != "R" or c.table_name not in tables or c.status == "DISABLED":
                 continue
             parent = keys.get((c.r_owner, c.r_constraint_name))
-            to, columns = (
-                (f"{c.r_owner}.{c.r_constraint_name}", ()) if parent is None
-                else (parent.table_name, tuple(parent.columns))
-            )
+            if parent is None:
+                to, columns = f"{c.r_owner}.{c.r_constraint_name}", ()
+            else:
+                own = parent.owner == self.config.source_schema
+                to = parent.table_name if own else f"{parent.owner}.{parent.table_name}"
+                columns = tuple(parent.columns)
             found.append(ForeignKey(c.constraint_name, c.table_name, tuple(c.columns), to, columns))
         return found
 
@@ -180,16 +207,17 @@ def plan_refresh(
     constraints: DataFrame | None = None,
     snapshot_of: str | None = None,
     record: bool = True,
+    schemas: Mapping[str, Source] | None = None,
 ) -> Plan:
     """Decide everything about a refresh without loading a row.
 
     ``snapshot_of`` takes the snapshot of an earlier job. With ``record=False``
     nothing is written under the target. Everything that can be refused, a column
     type or a missing common column, is refused here, before any table changes.
+    ``schemas`` gives the sources of other schemas by name: their tables that keys refer to
+    are pinned with the rest and read when the keys are checked.
     """
-    if config.strategy == STRATEGIES[3]:
-        raise ValueError(f"{config.strategy} works in place: call exchange_partitions")
-    job_id = new_job_id()
+    job_id = new_job_id(spark)
     target = Target(spark, target_root)
     declared = _declared(spark, constraints, config.source_schema).collect()
     order = _order(spark, declared, config)
@@ -208,6 +236,11 @@ def plan_refresh(
         spark, job_id, config, source, target, [], snapshot, declared, record,
         target.entries(),
     )
+    if source.pins_files and config.consistent_read == "scn":
+        folder = snapshot.path if snapshot is not None else work_dir(spark, "snapshot")
+        plan.parents = _pinned_parents(plan, schemas or {}, f"{folder}/schemas")
+    else:
+        plan.parents = _live_parents(plan, schemas or {})
     frames = {t: plan.read_source(t) for t in here}
     for table in here:
         check_writable(table, frames[table].schema)
@@ -218,7 +251,8 @@ def plan_refresh(
         if hasattr(source, "count_frame"):
             counted = {t: source.count_frame(spark, t) for t in here}
         sizes = snapshot.sizes if snapshot else None
-        profiles = table_profiles(spark, frames, sizes, counted=counted)
+        partitioned = [t for t in here if plan.source_layout(t)]
+        profiles = table_profiles(spark, frames, sizes, partitioned, counted)
         chosen = with_strategy(
             profiles, config.supports_chunks, config.strategy, config.max_chunks_per_table
         )
@@ -237,6 +271,9 @@ def plan_refresh(
     refused = [r.table_name for r in plan.rows if r.strategy == REFUSED]
     if refused:
         raise ValueError(f"columns of a type that cannot be written: {', '.join(refused)}")
+    flat = [r.table_name for r in plan.rows if r.strategy == STRATEGIES[3] and not plan.layout(r.table_name)]
+    if flat:
+        raise ValueError(f"{STRATEGIES[3]} needs partitioned tables: {', '.join(flat)} is not")
     if record:
         _record_plan(plan)
     return plan
@@ -246,9 +283,46 @@ def _declared(spark: SparkSession, constraints: DataFrame | None, owner: str) ->
     if constraints is None:
         return facts_frame(spark, [], CONSTRAINTS)
     upper = ("owner", "table_name", "constraint_name", "r_owner", "r_constraint_name")
-    return constraints.select(
+    named = constraints.select(
         *[F.upper(c).alias(c) if c in upper else F.col(c) for c in CONSTRAINTS.names]
-    ).where(F.col("owner") == owner)
+    )
+    own = named.where(F.col("owner") == owner)
+    # of other schemas only the keys that are referred to
+    meant = own.where((F.col("constraint_type") == "R") & (F.col("r_owner") != owner)).select(
+        F.col("r_owner").alias("owner"), F.col("r_constraint_name").alias("constraint_name")).distinct()
+    others = named.where((F.col("owner") != owner) & F.col("constraint_type").isin("P", "U"))
+    others = others.join(meant, ["owner", "constraint_name"], "left_semi").select(*CONSTRAINTS.names)
+    return own.unionByName(others)
+
+
+def _parent_tables(plan: Plan, schemas: Mapping[str, Source]) -> dict[str, list[str]]:
+    """Tables of other schemas that keys refer to and that a source was given for."""
+    known = {name.upper(): source for name, source in schemas.items()}
+    wanted: dict[str, set[str]] = {}
+    for c in plan.constraints:
+        if c.owner != plan.config.source_schema and c.owner in known:
+            wanted.setdefault(c.owner, set()).add(c.table_name)
+    return {o: present(known[o], plan.spark, sorted(t)) for o, t in wanted.items()}
+
+
+def _live_parents(plan: Plan, schemas: Mapping[str, Source]) -> dict[str, Parent]:
+    sources = {name.upper(): source for name, source in schemas.items()}
+    return {f"{owner}.{t}": Parent(t, sources[owner], None)
+            for owner, tables in _parent_tables(plan, schemas).items() for t in tables}
+
+
+def _pinned_parents(plan: Plan, schemas: Mapping[str, Source], folder: str) -> dict[str, Parent]:
+    """Parents of other schemas, with one snapshot to a schema beside the job's own."""
+    sources = {name.upper(): source for name, source in schemas.items()}
+    found = {}
+    for owner, tables in _parent_tables(plan, schemas).items():
+        snapshot = None
+        if tables and sources[owner].pins_files:
+            path = f"{folder}/{owner}"
+            snapshot = (Snapshot(plan.spark, path) if path_exists(plan.spark, path)
+                        else Snapshot.capture(sources[owner], plan.spark, tables, path))
+        found |= {f"{owner}.{t}": Parent(t, sources[owner], snapshot) for t in tables}
+    return found
 
 
 def _order(spark: SparkSession, declared: list, config: RefreshConfig) -> list:
@@ -284,14 +358,17 @@ def _record_plan(plan: Plan) -> None:
     )
 
 
-def load_plan(spark: SparkSession, source: Source, target_root: str, job_id: str) -> Plan:
-    """A recorded plan, with its snapshot."""
+def load_plan(
+    spark: SparkSession, source: Source, target_root: str, job_id: str,
+    schemas: Mapping[str, Source] | None = None,
+) -> Plan:
+    """A recorded plan, with its snapshots. ``schemas`` as for :func:`plan_refresh`."""
     target = Target(spark, target_root)
     job = ledger.Ledger(spark, f"{target.root}/ledger").job(job_id)
     if job is None:
         raise KeyError(f"unknown job {job_id}")
     folder = f"{target.root}/plans/{job_id}"
-    return Plan(
+    plan = Plan(
         spark,
         job_id,
         RefreshConfig.from_json(job.config_json),
@@ -303,6 +380,11 @@ def load_plan(spark: SparkSession, source: Source, target_root: str, job_id: str
         True,
         target.entries(),
     )
+    if plan.snapshot is not None:
+        plan.parents = _pinned_parents(plan, schemas or {}, f"{plan.snapshot.path}/schemas")
+    else:
+        plan.parents = _live_parents(plan, schemas or {})
+    return plan
 
 
 def run_refresh(
@@ -419,6 +501,9 @@ class _Run:
         plan = self.plan
         if plan.snapshot is not None:
             plan.snapshot.check(plan.loadable)
+        pinned = {p.snapshot.path: p.snapshot for p in plan.parents.values() if p.snapshot is not None}
+        for snapshot in pinned.values():
+            snapshot.check()
         for level in sorted({r.level for r in plan.rows}):
             rows = [r for r in plan.rows if r.level == level]
             self._load_level(rows)
@@ -426,8 +511,9 @@ class _Run:
         if ok:
             self._publish(self.waiting)
         else:
-            for table, *_ in self.waiting:
-                plan.target.discard(table, plan.job_id)
+            for version in self.waiting:
+                plan.target.discard(version.table, plan.job_id)
+                self.results[version.table]["status"] = "rolled back"
 
     def _load_level(self, rows: list) -> None:
         self._poll_ledger()
@@ -467,7 +553,9 @@ class _Run:
                 match=facts["match"], seconds=load.seconds,
             )
             if facts["match"]:
-                good.append((load.row.table_name, load.path, facts["rows_target"], load.shape))
+                good.append(Version(
+                    load.row.table_name, load.path, facts["rows_target"], load.shape,
+                    self.plan.layout(load.row.table_name), load.strategy == STRATEGIES[3]))
             else:
                 self.plan.target.discard(load.row.table_name, self.plan.job_id)
         if self.plan.config.commit_mode == "per_table":
@@ -508,6 +596,8 @@ class _Run:
                     splits=row.splits or None,
                     max_parallel=plan.config.max_parallel,
                     chunks=row.chunks,
+                    partition_by=plan.layout(table),
+                    laid_out=plan.layout(table) == plan.source_layout(table),
                 )
             )
             seen = observation.get if observation is not None else None
@@ -551,10 +641,10 @@ class _Run:
             plan.snapshot.check(list(written))
         return checked
 
-    def _publish(self, versions: list[tuple]) -> None:
+    def _publish(self, versions: list[Version]) -> None:
         self.plan.target.publish(self.plan.job_id, versions)
-        for table, *_ in versions:
-            self.results[table]["published"] = True
+        for version in versions:
+            self.results[version.table]["published"] = True
 
     def _published_frames(self, tables: set[str]) -> dict[str, DataFrame]:
         entries = self.plan.target.entries()
@@ -565,7 +655,8 @@ class _Run:
         done = [t for t, r in self.results.items() if r["published"]]
         keys = plan.foreign_keys(done)
         frames = self._published_frames({t for k in keys for t in (k.child, k.parent)})
-        # a parent that was never published leaves its keys undecided
+        frames |= {k.parent: plan.parents[k.parent].read(plan.spark) for k in keys if k.parent in plan.parents}
+        # a parent that was never published, or of a schema not given, leaves its keys undecided
         open_keys = [k for k in keys if k.parent not in frames]
         undecided = [(k.name, k.child, k.parent, None, None, None) for k in open_keys]
         keys = [k for k in keys if k.parent in frames]
@@ -649,7 +740,13 @@ def verify_job(
         else plan.read_source(t)
         for t in tables
     }
-    right = {t: plan.target.read(t, entries[t]) for t in published}
+    # an exchange replaced only some partitions: those are compared
+    exchanged = {r.table_name for r in plan.rows if r.strategy == STRATEGIES[3]}
+    right = {
+        t: plan.target.read(
+            t, entries[t], plan.target.version_path(t, job_id) if t in exchanged else None)
+        for t in published
+    }
     parts = [facts_frame(spark, [(t, None, None, None) for t in skipped], _COMPARED)]
     if published:
         parts.append(compare(plan, {t: left[t] for t in published}, right, mode))
@@ -670,10 +767,12 @@ def copy_tables(
     target_root: str,
     config: RefreshConfig,
     constraints: DataFrame | None = None,
+    schemas: Mapping[str, Source] | None = None,
     **run_options,
 ) -> RefreshResult:
     """Plan and run in one call."""
-    return run_refresh(plan_refresh(spark, source, target_root, config, constraints), **run_options)
+    plan = plan_refresh(spark, source, target_root, config, constraints, schemas=schemas)
+    return run_refresh(plan, **run_options)
 
 
 def cancel_job(spark: SparkSession, target_root: str, job_id: str) -> None:

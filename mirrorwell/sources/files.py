@@ -12,6 +12,7 @@ import json
 from collections.abc import Iterable
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -75,10 +76,11 @@ def packed_listing(spark: SparkSession):
 
 
 def list_files(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
-    """``(table_name, path, file_uri, length, modified_at)``, one row per file.
+    """``(table_name, path, file_uri, length, modified_at, partition)``, one row per file.
 
     One listing for all tables. The ``binaryFile`` source lists in parallel and
-    opens no file when its content is not selected.
+    opens no file when its content is not selected. ``partition`` is the part of the
+    path that tells partition values (``a=1/b=2``), empty if there is none.
     """
     listed = (
         spark.read.format("binaryFile")
@@ -94,7 +96,14 @@ def list_files(spark: SparkSession, roots: dict[str, str]) -> DataFrame:
     table = F.coalesce(
         *[_inside(F.col("path"), qualified(spark, root), name) for name, root in roots.items()]
     )
-    return listed.select(table.alias("table_name"), *listed.columns)
+    inside = F.coalesce(*[
+        F.when(F.startswith(F.col("path"), F.lit(base)), F.substring("path", F.lit(len(base) + 1), F.lit(1 << 30)))
+        for base in (qualified(spark, root) + "/" for root in roots.values())
+    ], F.lit(""))
+    return listed.select(
+        table.alias("table_name"), *listed.columns,
+        F.regexp_extract(inside, "^((?:[^/=]+=[^/]*/)*)[^/]*$", 1).alias("partition"),
+    ).withColumn("partition", F.rtrim("partition", F.lit("/")))
 
 
 def _inside(path, root: str, name: str):
@@ -141,10 +150,21 @@ class Snapshot:
                 F.count("path").alias("files"),
                 F.sum("length").alias("bytes"),
                 F.sum(F.ceil(F.col("length") / step)).alias("splits"),
+                F.max("partition").alias("partition"),
             )
-            self._sizes = {r.table_name: (r.files, r.bytes, r.splits) for r in stats.collect()}
+            rows = stats.collect()
+            self._sizes = {r.table_name: (r.files, r.bytes, r.splits) for r in rows}
+            self._partitions = {r.table_name: r.partition for r in rows}
         return self._sizes
 
+    def partition_columns(self, table: str) -> tuple[str, ...]:
+        """Columns the table's folders are named by, from the listing alone."""
+        if table not in self.sizes or not self._partitions[table]:
+            return ()
+        names = {f["name"].lower(): f["name"] for f in json.loads(self.tables[table].schema_json)["fields"]}
+        told = [unquote(step.split("=")[0]).lower() for step in self._partitions[table].split("/")]
+        return tuple(names[n] for n in told if n in names)
+
     def read(self, table: str, source_format: str = "parquet", **options) -> DataFrame:
         """The table as of the snapshot; files added later are not seen.
 

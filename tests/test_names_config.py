@@ -1,11 +1,11 @@
 import re
-from datetime import datetime
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
 
 from mirrorwell.config import RefreshConfig
-from mirrorwell.functions.names import new_job_id, remap_schema, split_table_list, table_list
+from mirrorwell.functions.names import job_name, new_job_id, remap_schema, split_table_list, table_list
 
 
 def test_table_list():
@@ -21,10 +21,13 @@ def test_columns_of_names(spark):
     assert tuple(row) == (["A", "B"], "U.T", "SX.T")
 
 
-def test_job_id():
-    found = new_job_id(datetime(2026, 5, 22, 12, 0, 0))
-    assert re.fullmatch(r"j_20260522_120000_[0-9a-f]{16}", found)
-    assert new_job_id(datetime(2026, 1, 1)) < new_job_id(datetime(2026, 1, 2))
+def test_job_id(spark):
+    found = new_job_id(spark)
+    assert re.fullmatch(r"j_\d{8}_\d{6}_[0-9a-f]{16}", found) and new_job_id(spark) != found
+    begun = datetime.strptime(found[2:17], "%Y%m%d_%H%M%S").replace(tzinfo=timezone.utc)
+    assert abs((datetime.now(timezone.utc) - begun).total_seconds()) < 120
+    at = spark.sql("select timestamp'2026-05-22 12:00:00' as at").select(job_name(F.col("at"), F.lit("0f")))
+    assert at.first()[0] == "j_20260522_120000_0f"
 
 
 def test_config_is_normalized():

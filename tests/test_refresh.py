@@ -5,6 +5,7 @@ from mirrorwell import (
     FileSource, RefreshConfig, cancel_job, cleanup_job, copy_tables, plan_refresh, run_refresh, verify_job,
 )
 from mirrorwell.operators.graph import CycleError
+from mirrorwell.operators.ledger import Ledger
 from mirrorwell.operators.load import register_strategy
 from mirrorwell.operators.project import NoCommonColumns, UnwritableType
 from mirrorwell.operators.publish import Target
@@ -111,6 +112,10 @@ def test_deferred_commit_publishes_all_or_nothing(spark, folder, shop):
     failed = copy_tables(spark, shop, f"{folder}/t", mode, strategies={"PEOPLE": "lose"})
     target = Target(spark, f"{folder}/t")
     assert not failed.success and target.entries() == {}
+    assert states(failed) == {"PEOPLE": "failed", "PARENT": "rolled back"}
+    book = Ledger(spark, f"{folder}/t/ledger")
+    assert {r.table_name: r.status for r in book.tables(failed.job_id).collect()} == {
+        "PEOPLE": "FAILED", "PARENT": "CANCELLED"}
     assert not path_exists(spark, target.version_path("PARENT", failed.job_id))
     assert copy_tables(spark, shop, f"{folder}/t", mode).success
     assert set(Target(spark, f"{folder}/t").entries()) == {"PEOPLE", "PARENT"}

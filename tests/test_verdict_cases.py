@@ -44,9 +44,9 @@ def test_rows_of_unknown_splits_stay_where_they_are(spark, folder):
         assert len(written.inputFiles()) == 16 and written.count() == 640
 
 
-def test_partition_exchange_is_refused_in_the_plan(spark, folder):
+def test_partition_exchange_needs_partitions(spark, folder):
     config = RefreshConfig("SRC", "TGT", "region", strategy="partition_exchange")
-    with pytest.raises(ValueError, match="in place"):
+    with pytest.raises(ValueError, match="needs partitioned tables: REGION"):
         plan_refresh(spark, FileSource(DATA), folder, config)
 
 
