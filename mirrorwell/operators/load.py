@@ -186,8 +186,9 @@ def equi_depth_bounds(df: DataFrame, key: Sequence[str], chunks: int, sample: in
     cut points are quantiles of the keys, counted in Spark; of a table of more rows than
     ``sample`` about so many rows, chosen by the hash of their address, stand for all (the
     chunks take every row either way). A key value with a chunk's share of rows or more
-    begins and ends a chunk of its own, so there may be up to ``2 * chunks``; no other
-    chunk is above twice the mean, within the sample's error.
+    begins and ends a chunk of its own (with the few values behind it that a sample may
+    have missed), so there may be up to ``2 * chunks``; no other chunk is above twice the
+    mean, within the sample's error.
     """
     rows = df.count()
     taken = df
