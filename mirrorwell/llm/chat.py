@@ -17,6 +17,10 @@ LOSS_ROLE = "assistant"
 
 # Where a control string begins; a backslash is put behind this character.
 _CONTROL = r"(<(?=\||/?s>|</?SYS>>)|\[(?=/?INST\]))"
+#: What a part of a kind that is not known is shown as; a unit of it counts as one token.
+UNKNOWN = "attachment"
+# A text that ends so may be the begin of a control string that the next part goes on with.
+_BEGUN = r"(<(/?s?|</?(S(YS?)?)?|</?SYS)|\[/?(I(N(S(T)?)?)?)?)$"
 PART = "struct<kind:string,text:string,ref:string,units:bigint>"
 
 
@@ -35,25 +39,34 @@ def placeholder(kind: str) -> str:
 
 
 def visit_parts(parts: Column) -> Column:
-    """The parts of a turn as one string, in order."""
-    def visit(part: Column) -> Column:
-        out = F.when(part["kind"] == "text", escape(F.coalesce(part["text"], F.lit(""))))
+    """The parts of a turn as one string, in order.
+
+    A control string that would come about across two text parts is broken by a backslash
+    between them, which ``unescape`` takes out again.
+    """
+    parts = F.coalesce(parts, F.array().cast(f"array<{PART}>"))
+
+    def visit(part: Column, at: Column) -> Column:
+        text = F.coalesce(part["text"], F.lit(""))
+        goes_on = (F.try_element_at(parts, at + 2)["kind"] == "text") & text.rlike(_BEGUN)
+        out = F.when(part["kind"] == "text", F.concat(escape(text), F.when(goes_on, "\\").otherwise("")))
         for kind in ATTACHMENT_TOKENS:
             out = out.when(part["kind"] == kind, F.lit(placeholder(kind)))
-        return out.otherwise(F.lit(""))
+        return F.when(part.isNotNull(), out.otherwise(F.lit(placeholder(UNKNOWN)))).otherwise("")
 
-    return F.array_join(F.transform(F.coalesce(parts, F.array().cast(f"array<{PART}>")), visit), "")
+    return F.array_join(F.transform(parts, visit), "")
 
 
 def attachments_of(parts: Column) -> Column:
     """What the placeholders of a turn stand for, in order: kind, reference, tokens."""
     known = F.filter(F.coalesce(parts, F.array().cast(f"array<{PART}>")),
-                     lambda p: p["kind"].isin(*ATTACHMENT_TOKENS))
+                     lambda p: p.isNotNull() & ~p["kind"].eqNullSafe(F.lit("text")))
 
     def record(part: Column) -> Column:
         rate = F.create_map(*[F.lit(x) for kv in ATTACHMENT_TOKENS.items() for x in kv])
         return F.struct(part["kind"].alias("kind"), part["ref"].alias("ref"),
-                        (F.coalesce(part["units"], F.lit(1)) * rate[part["kind"]])
+                        (F.coalesce(part["units"], F.lit(1))
+                         * F.coalesce(F.try_element_at(rate, part["kind"]), F.lit(1)))
                         .cast("long").alias("tokens"))
 
     return F.transform(known, record)
@@ -71,7 +84,8 @@ def format_chats(turns: DataFrame) -> DataFrame:
 
     ``turns`` has ``conv_id, turn, role, parts``. Turns follow by number, null first;
     turns of one number by role and content, repeated rows each count. A null role is
-    an empty one, null or unknown parts are empty text. ``loss_spans`` has start (from
+    an empty one, null parts are empty text. A part of an unknown (or null) kind is an
+    attachment with a placeholder of its own. ``loss_spans`` has start (from
     0) and length, in code points of ``formatted``, of what assistant turns say.
     ``attachments`` numbers the placeholders of the conversation in order, with kind,
     reference and tokens. An empty table gives an empty table; other columns are not

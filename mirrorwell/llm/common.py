@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +56,19 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     return on
 
 
+def shielded(docs: DataFrame, inner: Sequence[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with columns called like an operator's ``inner`` ones renamed, and the names
+    to give back at the end. Without such columns ``docs`` is returned as it is."""
+    taken = {c.lower() for c in docs.columns} | {i.lower() for i in inner}
+    back: dict[str, str] = {}
+    for name in docs.columns:
+        if name.lower() in {i.lower() for i in inner}:
+            number = next(n for n in range(len(taken) + 1) if f"given{n}" not in taken)
+            back[f"given{number}"] = name
+            taken.add(f"given{number}")
+    return docs.withColumnsRenamed({old: new for new, old in back.items()}) if back else docs, back
+
+
 class Scratch:
     """Tables an operator writes on its way, under the shared folder.
 

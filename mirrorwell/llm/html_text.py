@@ -32,8 +32,8 @@ _WORD = re.compile(r"[a-z]+")
 _SENTENCE = re.compile(r"[.!?…]")
 # Fixed sets of HTML itself.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_SILENT = frozenset("script style noscript template iframe object svg math title select "
-                    "textarea button canvas audio video".split())
+_SILENT = frozenset("script style noscript template iframe object svg title select "
+                    "textarea button canvas audio video annotation annotation-xml".split())
 _RAW = frozenset("script style textarea title iframe noscript".split())
 _NO_NESTING = frozenset("button select".split())
 # An unclosed raw element ends here.
@@ -41,7 +41,11 @@ _BODY_TAG = re.compile(
     r"<(?:/head|/?(?:body|article|main|section|header|footer|nav|aside|div|p|h[1-6]|ul|ol|dl|table|"
     r"blockquote|pre|figure|form|hr))(?=[\s/>])", re.I)
 _INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i img ins kbd label mark q "
-                    "s samp small span strike strong sub sup time tt u var wbr".split())
+                    "s samp small span strike strong sub sup time tt u var wbr "
+                    "math semantics mi mn mo ms mtext mspace mrow mfrac msup msub msubsup msqrt mroot mover "
+                    "munder munderover mtable mtr mtd mstyle mpadded mphantom menclose".split())
+#: The tag of a block implied by text outside every block element.
+_LOOSE = "#text"
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
            "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 #: What the words of HTML and common class names say before any page is counted: pseudo-counts
@@ -99,7 +103,10 @@ def parse(source: str) -> Page:
             text = " ".join(html.unescape("".join(pieces)).split())
             pieces.clear()
             if text:
-                at = stack[-1]
+                if len(stack) == 1:
+                    open_block(_LOOSE, [])
+                    stack.pop()
+                at = stack[-1] if len(stack) > 1 else len(page.tag) - 1
                 page.texts.append((at, text))
                 page.chars[at] += len(text)
                 page.linked[at] += min(link_chars, len(text))
@@ -237,7 +244,11 @@ class Model:
         count = len(page.tag)
         own = []
         for i in range(count):
-            score = max(-30.0, min(30.0, sum(self.odds.get(e, 0.0) for e in evidence(page, i))))
+            score = sum(self.odds.get(e, 0.0) for e in evidence(page, i))
+            if page.tag[i] == _LOOSE:
+                # no element speaks against it: a weak prior, without the odds of its parent
+                score += math.log(self.agree[0][0] / self.agree[0][1]) + 1.0
+            score = max(-30.0, min(30.0, score))
             own.append((1.0, math.exp(score)))
         up = [(1.0, 1.0)] * count
         below = own[:]
@@ -264,6 +275,8 @@ def extract(model: Model, source: str | None) -> str:
     if not source:
         return ""
     page = parse(source)
+    if all(tag in ("", _LOOSE) for tag in page.tag):  # no block element: all of it is the text
+        return " ".join(text for _, text in page.texts)
     likely = model.marginals(page)
     return " ".join(text for block, text in page.texts if likely[block] > 0.5)
 

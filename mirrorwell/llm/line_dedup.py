@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mirrorwell.llm.common import SPACES, Scratch, lower_ascii, row_print, same, text_of
+from mirrorwell.llm.common import SPACES, Scratch, lower_ascii, row_print, same, shielded, text_of
 
 MIN_CHARS = 20
 MIN_DOCUMENTS = 3
@@ -84,6 +84,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS,
     document for the count, and each is cut by itself; a null doc_id is smaller than
     all others. Other columns stay. An empty table gives an empty table.
     """
+    docs, back = shielded(docs, ("_print", "_cut_doc", "_cut_print", "_cut", "_n_cut"))
     names = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     cut = line_bitmaps(docs.select("doc_id", "text"), min_chars, min_documents)
     cut = cut.select(F.col("doc_id").alias("_cut_doc"), F.col("row_print").alias("_cut_print"),
@@ -102,4 +103,4 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS,
         F.when(F.col("_cut").isNull(), text_of()).otherwise(F.array_join(stays, "\n")).alias("text"),
         F.size(F.split(text_of(), "\n")).cast("long").alias("n_lines"),
         F.coalesce("_n_cut", F.lit(0).cast("long")).alias("n_dropped"),
-    )
+    ).withColumnsRenamed(back)

@@ -22,8 +22,8 @@ from mirrorwell.llm.hashing import mix, runs, word_hashes
 
 #: Bytes of input behind each bucket, about.
 BUCKET_BYTES = 14 << 20
-#: A word with more than this share of all tokens has its pairs spread over all buckets;
-#: there can be no more than 128 of them.
+#: A word with more than this share of all tokens, or than a bucket holds, has its pairs spread over all
+#: buckets; there can be no more than 128 of them, or than there are buckets.
 HOT_SHARE = 1 / 128
 _U = np.uint64
 _ID_BITS = 48
@@ -142,14 +142,25 @@ def _write(folder: str, name: str, **arrays: np.ndarray) -> None:
         os.replace(draft, f"{folder}/{name}-{kind}.npy")
 
 
-def _merge_words(folder: str):
+def narrow(counts: np.ndarray) -> np.ndarray:
+    """Counts in 32 bits where they fit, else as they are: none wraps, however large the corpus."""
+    return counts.astype(np.uint32) if counts.max(initial=0) < 1 << 32 else counts.astype(np.int64)
+
+
+def hot_share(buckets: int) -> float:
+    """Contexts with this share of all tokens are summed apart: no bucket gets much more from one
+    than its own share, however many buckets there are."""
+    return min(HOT_SHARE, 1 / buckets)
+
+
+def _merge_words(folder: str, share: float):
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
         ids = np.concatenate([unpack_ids(x, 1)[0] for x in table.column("ids").to_pylist()])
         counts = np.concatenate([_unpack_counts(x) for x in table.column("counts").to_pylist()])
         ids, _, counts = _merge(ids, counts)
-        _write(folder, f"word-{bucket}", ids=ids, counts=counts.astype(np.uint32))
-        top = np.argsort(-counts, kind="stable")[:int(1 / HOT_SHARE)]
+        _write(folder, f"word-{bucket}", ids=ids, counts=narrow(counts))
+        top = np.argsort(-counts, kind="stable")[:int(1 / share)]
         return pa.table({"tokens": pa.array([int(counts.sum())]), "types": pa.array([len(ids)]),
                          "top_ids": pa.array([ids[top].astype(np.int64)], pa.list_(pa.int64())),
                          "top_counts": pa.array([counts[top]], pa.list_(pa.int64()))})
@@ -172,13 +183,13 @@ def _merge_pairs(folder: str, buckets: int, hot: np.ndarray):
         counts = np.concatenate([_unpack_counts(x) for x in table.column("counts").to_pylist()])
         key, at, counts = _merge(pair_key(before, word), counts)
         before, word = before[at], word[at]
-        _write(folder, f"pair-{bucket}", keys=key, counts=counts.astype(np.uint32))
+        _write(folder, f"pair-{bucket}", keys=key, counts=narrow(counts))
         context, _, ones = _merge(before, (counts == 1).astype(np.int64))
         twos = _merge(before, (counts == 2).astype(np.int64))[2]
         more = _merge(before, (counts >= 3).astype(np.int64))[2]
         cold = ~np.isin(context, hot)
         _write(folder, f"context-{bucket}", ids=context[cold],
-               kinds=np.stack([ones, twos, more], axis=1)[cold].astype(np.uint32))
+               kinds=narrow(np.stack([ones, twos, more], axis=1)[cold]))
         # how many contexts each word follows, to be summed up by word
         follows = _merge(word, np.ones(len(word), np.int64))
         blobs = _blob_batch(list(_split((follows[0] % _U(buckets)).astype(np.int64), buckets, follows[0], follows[2])))
@@ -202,7 +213,7 @@ def _merge_follows(folder: str):
         ids = np.concatenate([unpack_ids(x, 1)[0] for x in table.column("ids").to_pylist()])
         counts = np.concatenate([_unpack_counts(x) for x in table.column("counts").to_pylist()])
         ids, _, counts = _merge(ids, counts)
-        _write(folder, f"follow-{bucket}", ids=ids, counts=counts.astype(np.uint32))
+        _write(folder, f"follow-{bucket}", ids=ids, counts=narrow(counts))
         return pa.table({"total": pa.array([int(counts.sum())]),
                          "of_counts": pa.array([_of_counts(counts)], pa.list_(pa.int64()))})
     return run
@@ -313,12 +324,12 @@ def train(docs: DataFrame) -> Model:
     texts = docs.select(F.col("text").cast("string").alias("text"))
     told = scratch.keep(
         texts.mapInArrow(_word_blobs(buckets), _BLOB).groupBy("bucket").applyInArrow(
-            _merge_words(folder), "tokens long, types long, top_ids array<long>, top_counts array<long>"),
+            _merge_words(folder, hot_share(buckets)), "tokens long, types long, top_ids array<long>, top_counts array<long>"),
         "words")
     sums = told.agg(F.sum("tokens"), F.sum("types")).first()
     tokens, types = int(sums[0] or 0), int(sums[1] or 0)
     often = told.select(F.explode(F.arrays_zip("top_ids", "top_counts")).alias("t")).where(
-        F.col("t.top_counts") >= max(1, tokens * HOT_SHARE)).select("t.top_ids", "t.top_counts")
+        F.col("t.top_counts") >= max(1, tokens * hot_share(buckets))).select("t.top_ids", "t.top_counts")
     frequent = {r[0]: r[1] for r in often.collect()}
     hot = np.array(sorted({START, *frequent}), _U)
     merged = scratch.keep(

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mirrorwell.llm.common import SPACE_RUN, SPACES, text_of, words_of
+from mirrorwell.llm.common import SPACE_RUN, SPACES, shielded, text_of, words_of
 
 #: The list is fitted on so many labelled rows at most (those of the smallest hash).
 FIT_ROWS = 8_000
@@ -35,6 +35,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
     A null or empty text has no words and no lines with a word. Columns of these names
     are replaced, others stay.
     """
+    docs, back = shielded(docs, ("_text", "_w", "_h", "_s", "_starts", "_lines", "_n_lines"))
     own = [c for c in docs.columns if c not in STATISTICS + FEATURES]
     d = docs.select(*own, text_of().alias("_text"))
     d = d.select(*own, "_text", words_of(F.col("_text")).alias("_w"))
@@ -81,7 +82,7 @@ def with_statistics(docs: DataFrame) -> DataFrame:
         share("n_dup_lines", "_n_lines").alias("dup_line_share"),
         share("n_repeat_words", "n_words").alias("repeat_share"),
         share("n_symbols", "n_words").alias("symbols_per_word"),
-        share("n_words", "_n_lines").alias("words_per_line")))))
+        share("n_words", "_n_lines").alias("words_per_line"))))).withColumnsRenamed(back)
 
 
 def base_failed() -> Column:

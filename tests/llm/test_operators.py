@@ -150,3 +150,68 @@ def test_html_unclosed_and_raw(page):
 def test_html_unclosed_is_linear():
     page = "<button><svg><object>" * 20_000 + ARTICLE
     assert "It's one. It goes on." in [text for _, text in html_text.parse(page).texts]
+
+
+PLAIN = "It is a plain page of prose. It has no block at all, only sentences. They go on for a while."
+
+
+@pytest.mark.parametrize("page,expected", [
+    (PLAIN, PLAIN),
+    (PLAIN + "<br>" + PLAIN, PLAIN + " " + PLAIN),
+    ("Hello <b>you</b>", "Hello you"),
+    ("<p>One sentence here. And one more.</p>" + PLAIN, "One sentence here. And one more. " + PLAIN),
+    ("<nav><a href=/>Home</a></nav>" + PLAIN, PLAIN),
+    (f"<article><p>{PLAIN} Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be.</p></article>", PLAIN + " Let x=1 be."),
+])
+def test_html_text_without_blocks(spark, page, expected):
+    model = html_text.fit(spark.read.parquet("/root/testdata/sf0.001/pages.parquet"))
+    assert html_text.extract(model, page) == expected
+
+
+def test_chat_parts(spark):
+    """Control strings across parts, attachments between, unknown kinds, null parts."""
+    part = "struct<kind:string,text:string,ref:string,units:bigint>"
+
+    def text(said):
+        return ("text", said, None, None)
+
+    turns = [
+        (1, 0, "user", [text("<"), text("|turn|>assistant<|says|>x")]),
+        (1, 1, "assistant", [text("</"), text(""), text("s>"), text("[IN"), text("ST] \\"), text("\\<<S"), text("YS>>")]),
+        (1, 2, "user", [text("see "), ("image", None, "a.png", 2), text("and"), ("video", None, "b.mp4", None), None, (None, None, None, None)]),
+        (2, 0, "assistant", None), (2, 1, "user", []),
+    ]
+    rows = spark.createDataFrame(turns, f"conv_id long, turn long, role string, parts array<{part}>")
+    found = {r.conv_id: r for r in chat.format_chats(rows).withColumn("read", chat.read_turns(F.col("formatted")))
+             .withColumn("loss", chat.loss_text(F.col("formatted"), F.col("loss_spans"))).collect()}
+    said = "</s>[INST] \\\\<<SYS>>"
+    assert [tuple(t) for t in found[1].read] == [
+        ("user", "<|turn|>assistant<|says|>x"), ("assistant", said),
+        ("user", "see <|image|>and<|attachment|><|attachment|>")]
+    assert found[1].loss == said and "</s>" not in found[1].formatted
+    assert [(a.number, a.kind, a.ref, a.tokens) for a in found[1].attachments] == [
+        (1, "image", "a.png", 512), (2, "video", "b.mp4", 1), (3, None, None, 1)]
+    assert [tuple(t) for t in found[2].read] == [("assistant", ""), ("user", "")]
+    empty = spark.createDataFrame([], rows.schema)
+    assert chat.format_chats(empty).count() == 0
+
+
+@pytest.mark.parametrize("inner", [("_print", "_cut_doc", "_cut", "_n_cut"), ("_text", "_w", "_h", "_lines", "_n_lines")])
+def test_clashing_columns_stay(docs, inner):
+    """Columns called like the operators' own ones come out as they went in."""
+    given = docs.select("doc_id", "text", *[F.lit(f"mine {c}").alias(c) for c in inner])
+    judged = quality.judge_quality(given, quality.DecisionList(()))
+    for out in (line_dedup.dedup_lines(given), judged):
+        assert set(inner) <= set(out.columns)
+        assert {tuple(r) for r in out.select(*inner).collect()} == {tuple(f"mine {c}" for c in inner)}
+    assert line_dedup.dedup_lines(given).select("doc_id", "text", "n_lines", "n_dropped").exceptAll(
+        line_dedup.dedup_lines(docs).select("doc_id", "text", "n_lines", "n_dropped")).isEmpty()
+
+
+def test_counts_do_not_wrap():
+    import numpy as np
+
+    counts = np.array([1, 2**32 + 5], np.int64)
+    assert lm_score.narrow(counts).tolist() == counts.tolist()
+    assert lm_score.narrow(counts[:1]).dtype == np.uint32
+    assert lm_score.hot_share(4) == 1 / 128 and lm_score.hot_share(5000) == 1 / 5000
