@@ -123,14 +123,14 @@ def with_chunks(
 
     By the row's address the chunks are even whatever the values are, so a value
     held by a third of the rows does no harm. A scan of many splits is chunked
-    split by split, without a shuffle. With ``key`` equal keys share a chunk; a
-    chunk that grows too large is written by several tasks. With ``splits`` unknown
-    rows without a file stay in their partitions.
+    split by split, without a shuffle, and so is one whose ``splits`` are unknown. With
+    ``key`` equal keys share a chunk; a chunk that grows too large is written by several
+    tasks. Rows without a file stay in their partitions where ``splits`` are unknown.
     """
     if key:
         return df.withColumn(CHUNK, chunk_of(list(key), chunks)).hint("rebalance", CHUNK)
     try:
-        if (splits or 1) >= 4 * chunks:
+        if splits is None or splits >= 4 * chunks:
             return df.withColumn(CHUNK, chunk_of(split_address(), chunks))
         return df.withColumn(CHUNK, chunk_of(row_address(), chunks)).hint("rebalance", CHUNK)
     except AnalysisException:  # no file behind the rows: chunk by scan partition

@@ -37,7 +37,7 @@ from mirrorwell.operators.strategy import with_strategy
 from mirrorwell.plans import derived, refresh
 from mirrorwell.plans.derived import table
 from mirrorwell.session import facts_frame, materialize, work_dir
-from mirrorwell.sources.files import FileSource, Snapshot
+from mirrorwell.sources.files import FileSource, Snapshot, footer_frames
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -601,7 +601,10 @@ ID_COLUMNS = (
 def id_high_water(spark, sf_dir):
     frames = all_tables(spark, sf_dir)
     frames["no_pages"] = frames["pages"].where("length(html) < 0")
-    return ids.high_water_marks(frames, [(t, c, f"{c.upper()}_SEQ") for t, c in ID_COLUMNS])
+    footers = footer_frames(spark, {
+        t: (f"{sf_dir}/{t}.parquet", None) for t in {t for t, _ in ID_COLUMNS} if t != "no_pages"})
+    wanted = [(t, c, f"{c.upper()}_SEQ") for t, c in ID_COLUMNS]
+    return ids.high_water_marks(frames, wanted, footers)
 
 
 # Strategy

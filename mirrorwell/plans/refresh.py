@@ -9,9 +9,11 @@ line of facts per table.
 from __future__ import annotations
 
 import json
+import threading
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -32,7 +34,10 @@ from mirrorwell.operators.publish import Target, Version
 from mirrorwell.operators.strategy import REFUSED, with_strategy
 from mirrorwell.session import SMALL_STATE, facts_frame, path_exists, work_dir
 from mirrorwell.sources.base import Source, SnapshotTooOld, present
-from mirrorwell.sources.files import Snapshot
+from mirrorwell.sources.files import Snapshot, footer_frames
+
+#: Seconds between two looks at the ledger while tables load.
+POLL_SECONDS = 10.0
 
 PLAN = T.StructType(
     [
@@ -493,6 +498,7 @@ class _Run:
         self.entries = plan.entries
         self.results: dict[str, dict] = {}
         self.waiting: list[tuple] = []
+        self.tag = f"load-{plan.job_id}"
         self.kept = set()
         if resume:
             self.kept = {t for t, e in self.entries.items() if e.job_id == plan.job_id}
@@ -533,7 +539,7 @@ class _Run:
         if not todo:
             return
         workers = min(len(todo), self.plan.config.max_parallel)
-        with ThreadPoolExecutor(workers) as pool:
+        with ThreadPoolExecutor(workers) as pool, self._watched():
             jobs = [pool.submit(inheritable_thread_target(self.spark)(self._load_one), r) for r in todo]
             loads = [job.result() for job in jobs]
         loads = [load for load in loads if load is not None]
@@ -568,6 +574,29 @@ class _Run:
             return
         self.cancelled = self.plan.ledger().status(self.plan.job_id) == "CANCELLED"
 
+    @contextmanager
+    def _watched(self):
+        """While tables load, look at the ledger every :data:`POLL_SECONDS`. Once the job is
+        cancelled there, the Spark jobs of its loads are cancelled too, and those they start
+        after that at the next look."""
+        over = threading.Event()
+
+        def look() -> None:
+            while not over.wait(POLL_SECONDS):
+                self._poll_ledger()
+                if self.cancelled:
+                    self.spark.sparkContext.cancelJobsWithTag(self.tag)
+
+        watcher = threading.Thread(target=inheritable_thread_target(self.spark)(look), daemon=True)
+        if self.plan.recorded:
+            watcher.start()
+        try:
+            yield
+        finally:
+            over.set()
+            if self.plan.recorded:
+                watcher.join()
+
     def _load_one(self, row):
         if not self.cancelled and self.check_cancelled is not None and self.check_cancelled():
             self.cancelled = True
@@ -578,6 +607,7 @@ class _Run:
         plan, table = self.plan, row.table_name
         strategy = self.strategies.get(table, row.strategy)
         started = time.monotonic()
+        self.spark.sparkContext.addJobTag(self.tag)
         try:
             frame = plan.projected(table)
             shape = frame.schema
@@ -605,10 +635,14 @@ class _Run:
             raise
         except Exception as error:
             self.results[table] = _result(
-                plan, row, status="failed", strategy=strategy, error=str(error),
-                seconds=time.monotonic() - started,
+                plan, row, status="cancelled" if self.cancelled else "failed", strategy=strategy,
+                error=str(error), seconds=time.monotonic() - started,
             )
+            if self.cancelled:
+                plan.target.discard(table, plan.job_id)
             return None
+        finally:
+            self.spark.sparkContext.removeJobTag(self.tag)
         return _Load(row, strategy, path, shape, seen, time.monotonic() - started)
 
     def _check(self, loads: list[_Load]) -> dict[str, dict]:
@@ -673,11 +707,21 @@ class _Run:
                 errors.append(f"{key.name}: {row.orphan_rows} orphan rows, e.g. {shown}")
         return facts_frame(self.spark, [tuple(r) for r in rows] + undecided, FK_RESULT), errors
 
+    def _footers(self, tables: Iterable[str]) -> dict[str, DataFrame]:
+        """Published tables that are one version of plain files, to be told from their footers."""
+        entries = {t: e for t, e in self.plan.target.entries().items() if t in tables}
+        return footer_frames(self.spark, {
+            t: (e.version_path, T.StructType.fromJson(json.loads(e.schema_json)))
+            for t, e in entries.items()
+            if e.version_path is not None and not e.partition_columns and not e.parts
+        })
+
     def next_ids(self, columns: Sequence[tuple[str, str, str]]) -> DataFrame | None:
         wanted = [c for c in columns if self.results.get(c[0], {}).get("published")]
         if not wanted:
             return None
-        marks = ids.high_water_marks(self._published_frames({c[0] for c in wanted}), wanted)
+        tables = {c[0] for c in wanted}
+        marks = ids.high_water_marks(self._published_frames(tables), wanted, self._footers(tables))
         rows = marks.collect()
         for mark in rows:
             self.results[mark.table_name]["sequences_reset"].append(mark.sequence_name)

@@ -9,7 +9,7 @@ whoever writes them; a snapshot adds that the job sees one state throughout.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from urllib.parse import unquote
@@ -60,6 +60,25 @@ class FileSource:
         return self.root
 
 
+def footer_frames(
+    spark: SparkSession, places: Mapping[str, tuple[str, T.StructType | None]]
+) -> dict[str, DataFrame]:
+    """Parquet tables by name, from ``(path, schema or None)``, whose MIN, MAX and COUNT over
+    whole columns are pushed into the scan and answered from the files' footers.
+
+    The two settings this takes are made in a session of their own.
+    """
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.useV1SourceList", "")
+    session.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    session.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    found = {}
+    for table, (path, schema) in places.items():
+        reader = session.read if schema is None else session.read.schema(schema)
+        found[table] = reader.parquet(path)
+    return found
+
+
 @contextmanager
 def packed_listing(spark: SparkSession):
     """Run a listing in few tasks: by default every large file would be its own."""
@@ -211,7 +230,9 @@ class Snapshot:
     def check(self, tables: Iterable[str] | None = None) -> None:
         """Raise unless every pinned file is still what it was."""
         with packed_listing(self.spark):
-            bad = self.changed_files(tables).select("table_name", "path").limit(5).collect()
-        if bad:
-            names = ", ".join(f"{r.table_name}: {r.path}" for r in bad)
-            raise SnapshotTooOld(f"pinned files changed since the plan ({names})")
+            changed = self.changed_files(tables).select("table_name", "path")
+            bad = changed.limit(5).collect()
+            if bad:
+                names = ", ".join(f"{r.table_name}: {r.path}" for r in bad)
+                raise SnapshotTooOld(
+                    f"{changed.count()} pinned files changed since the plan, among them {names}")

@@ -81,6 +81,7 @@ def test_many_splits_are_chunked_without_a_shuffle(spark):
     orders = spark.read.parquet(f"{DATA}/orders.parquet")
     plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan(load.with_chunks(orders, 4, splits=100))
+    assert "Exchange" not in plan(load.with_chunks(orders, 4))  # unknown
     assert "REBALANCE" in plan(load.with_chunks(orders, 4, splits=1))
 
 

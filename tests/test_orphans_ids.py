@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from mirrorwell.operators import catalog, ids
 from mirrorwell.operators.orphans import ForeignKey, check_foreign_keys, orphan_keys, orphan_rows
+from mirrorwell.sources.files import footer_frames
 from tests.fixtures import constraints_of, nodes_of
 
 
@@ -68,6 +69,25 @@ def test_high_water_marks(spark):
     assert found == {"S1": 8, "S2": 11, "S3": 1}
 
 
+def test_marks_from_footers_read_no_column(spark, folder):
+    rows = [(i, None, i % 7) for i in range(500)]
+    spark.createDataFrame(rows, "id bigint, nothing bigint, small int").repartition(3).write.parquet(f"{folder}/a")
+    spark.createDataFrame(rows[:9], "id bigint, nothing bigint, small int").write.parquet(f"{folder}/b")
+    frames = {t: spark.read.parquet(f"{folder}/{t}") for t in "ab"}
+    footers = footer_frames(spark, {"a": (f"{folder}/a", None), "b": (f"{folder}/b", frames["b"].schema)})
+    wanted = [("a", "id", "S1"), ("a", "small", "S2"), ("b", "id", "S3")]
+    plan = ids.scan_marks(footers, wanted)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MAX(id), MAX(small)]" in plan and "PushedAggregation: [MAX(id)]" in plan
+    told = ids.high_water_marks(frames, wanted, footers)
+    assert "FileScan" not in told._jdf.queryExecution().executedPlan().toString()
+    assert {r.sequence_name: r.next_value for r in told.collect()} == {"S1": 500, "S2": 7, "S3": 9}
+    assert spark.conf.get("spark.sql.sources.useV1SourceList")  # the caller's session is as it was
+    # no footer has a greatest value of a column of NULLs: that table is scanned, the other is not
+    mixed = ids.high_water_marks(frames, [("a", "nothing", "S4"), *wanted], footers)
+    assert {r.sequence_name: r.next_value for r in mixed.collect()} == {"S1": 500, "S2": 7, "S3": 9, "S4": 1}
+    assert {c: t for c, t in mixed.dtypes} == dict(ids.scan_marks(frames, wanted).dtypes)
+
+
 def test_fk_listing_of_chosen_tables(spark):
     cons = constraints_of(spark, [("CHILD", "PARENT"), ("OTHER", "PARENT")])
     listed = catalog.fk_listing(cons, nodes_of(spark, ["CHILD", "CHILD"]), "S").collect()

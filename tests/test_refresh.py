@@ -9,6 +9,7 @@ from mirrorwell.operators.ledger import Ledger
 from mirrorwell.operators.load import register_strategy
 from mirrorwell.operators.project import NoCommonColumns, UnwritableType
 from mirrorwell.operators.publish import Target
+from mirrorwell.plans import refresh
 from mirrorwell.plans.refresh import load_plan
 from mirrorwell.session import path_exists, remove_path
 from mirrorwell.sources.base import SnapshotTooOld
@@ -164,6 +165,27 @@ def test_cancel_from_outside(spark, folder, shop):
     assert book.status(plan.job_id) == "CANCELLED"
 
 
+def test_cancel_inside_a_table(spark, folder, shop, monkeypatch):
+    monkeypatch.setattr(refresh, "POLL_SECONDS", 0.2)
+    plan = plan_refresh(spark, shop, f"{folder}/t", config("people"))
+
+    def endless(ctx):
+        ctx.df.write.parquet(ctx.path)
+        cancel_job(spark, f"{folder}/t", plan.job_id)
+        spark.range(1 << 40, numPartitions=2).selectExpr("sum(id % 7)").collect()
+
+    register_strategy("endless", endless)
+    result = run_refresh(plan, strategies={"PEOPLE": "endless"})
+    assert result.cancelled and states(result) == {"PEOPLE": "cancelled"}
+    book = plan.ledger()
+    assert book.job(plan.job_id).status == "CANCELLED"
+    assert [r.status for r in book.tables(plan.job_id).collect()] == ["CANCELLED"]
+    assert not path_exists(spark, plan.target.version_path("PEOPLE", plan.job_id))
+    assert spark.range(5).count() == 5  # no other work is cancelled
+    again = run_refresh(load_plan(spark, shop, f"{folder}/t", plan.job_id), resume=True)
+    assert again.success and states(again) == {"PEOPLE": "ok"}
+
+
 def test_drift_and_recreation(spark, folder, shop):
     target = Target(spark, f"{folder}/t")
     old = spark.sql("select 'x' as NAME, 1 as mine, 'y' as note").limit(0).schema
