@@ -4,7 +4,8 @@ Texts are tokenized and cut to pieces; full pieces are sequences of their own. T
 is dealt to partitions that each run best-fit decreasing. A dual feasible function maps
 lengths so that no bin holds more than 1 of the mapped sizes, hence their sum is a lower
 bound: a partition that meets it is certified and done. Partitions with a gap exchange
-what lies in bins that are not full and run again; what is not better stays as it was.
+what lies in bins that are not full and run again, for as long as that saves bins; what is
+not better stays as it was, and the gap that is left is told.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 import base64
 import zlib
 from collections.abc import Iterator
-from itertools import compress
+from itertools import compress, count
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +25,8 @@ from mirrorwell.llm.hashing import runs
 
 CAPACITY = 1024
 END_ID = 2
-#: Pieces per partition, about; and partitions that exchange with each other.
+#: Pieces per partition, about.
 PARTITION_PIECES = 100_000
-EXCHANGE = 8
-ROUNDS = 2
 #: Distinct word units whose ids a worker remembers.
 CACHE_UNITS = 500_000
 # White space as the tokenizer's own pre-tokenizer sees it. It never splits inside a run of
@@ -242,15 +241,19 @@ def _pack_group(capacity: int):
 
 
 def pack_pieces(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (with ``length``) plus ``sequence_id`` and ``offset``.
-
-    No partition holds more than about :data:`PARTITION_PIECES` rows, and an exchange
-    unites :data:`EXCHANGE` of them. Which piece goes where depends on its place in the
-    written table, so even a table of one repeated row is dealt evenly.
+    """``pieces`` (with ``length``) plus ``sequence_id``, ``offset``, ``part`` and ``gap``.
+
+    No partition holds more than about :data:`PARTITION_PIECES` rows. Which piece goes
+    where depends on its place in the written table, so even a table of one repeated row is
+    dealt evenly. An exchange deals whole bins, by their numbers, to new partitions; it is
+    repeated until every partition is certified, one partition holds all that is not, or
+    no bin was saved. ``gap`` is the number of bins that the partition ``part`` may have too many:
+    0 where its bound is met, and for full bins.
     """
     full = pieces.where(F.col("length") >= capacity).select(
         *pieces.columns, (-1 - F.monotonically_increasing_id()).alias("sequence_id"),
-        F.lit(0).cast("long").alias("offset"))
+        F.lit(0).cast("long").alias("offset"), F.lit(None).cast("long").alias("part"),
+        F.lit(0).cast("long").alias("gap"))
     loose = pieces.where(F.col("length") < capacity)
     parts = max(1, -(-loose.count() // PARTITION_PIECES))
     state = loose.select(
@@ -258,27 +261,33 @@ def pack_pieces(pieces: DataFrame, scratch: Scratch, capacity: int = CAPACITY) -
         F.lit(0).cast("long").alias("filled"), F.lit(0).cast("long").alias("gap"),
         F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts)).cast("long").alias("part"))
     done: list[DataFrame] = []
-    first = 0
-    for number in range(ROUNDS):
+    first, before = 0, None
+    again = (F.col("gap") > 0) & (F.col("filled") < capacity)
+    bins = F.count(F.when(F.col("offset") == 0, 1))
+    for number in count():
         packed = scratch.keep(state.groupBy("part").applyInArrow(_pack_group(capacity), state.schema), f"packed-{number}")
-        again = (F.col("gap") > 0) & (F.col("filled") < capacity)
-        if number + 1 == ROUNDS or parts == 1:
+        now, left, rows = packed.agg(
+            bins, F.count(F.when(again & (F.col("offset") == 0), 1)), F.count(F.when(again, 1))).first()
+        if parts == 1 or not rows or (before is not None and now >= before):
             done.append(packed)
             break
         done.append(packed.where(~again))
-        # neighbours exchange; numbers of a round do not meet those of the last one
-        first += parts
-        parts = -(-parts // EXCHANGE)
-        state = packed.where(again).withColumn("part", F.expr(f"{first} + pmod(part, {parts})").cast("long"))
+        # numbers of a round do not meet those of the last one
+        first, before = first + parts, left
+        parts = -(-rows // PARTITION_PIECES)
+        dealt = F.pmod(F.xxhash64("sequence_id", F.lit(number)), F.lit(parts))
+        state = packed.where(again).withColumn("part", (dealt + first).cast("long"))
     out = full
     for df in done:
-        out = out.unionByName(df.select(full.columns))
+        closed = df.withColumn("gap", F.when(again, F.col("gap")).otherwise(0).cast("long"))
+        out = out.unionByName(closed.select(full.columns))
     return out
 
 
 def pack_documents(docs: DataFrame, tokenizer_path: str, ranks_path: str | None = None,
                    capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
-    """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset)``, a row per piece.
+    """``(doc_id, piece, start, length, ids_crc32, sequence_id, offset, part, gap)``, a row per
+    piece; the last two as in :func:`pack_pieces`.
 
     A document is its ids and the end id; one longer than ``capacity`` is cut into whole
     pieces, the first of which may be shorter. Each sequence is filled from 0 without

@@ -1,8 +1,8 @@
 """Quality rules: a decision list learned by sequential covering.
 
 Statistics of whole texts are built-in expressions on the row. From labelled rows, rules
-(conjunctions of thresholds) are grown on one part and pruned on another until no good
-one is left; the list comes out as an ordered Spark conditional expression.
+(conjunctions of thresholds) are grown on one part and pruned on another until no
+rejected row is left to cover; the list comes out as an ordered Spark conditional expression.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from mirrorwell.llm.common import SPACE_RUN, SPACES, shielded, text_of, words_of
 
 #: The list is fitted on so many labelled rows at most (those of the smallest hash).
 FIT_ROWS = 8_000
-MAX_RULES = 12
 MAX_CONDITIONS = 4
 #: A rule must be right on so large a share of the rows held back for pruning, and find so many.
 MIN_PRECISION = 0.97
@@ -172,12 +171,16 @@ def learn_rules(rows: Sequence[dict]) -> DecisionList:
     """Sequential covering on rows of features and ``bad`` (0/1), in the given order.
 
     Every third row is held back: rules grow on the others and are pruned and judged on
-    these. No rows, or one label only: an empty list, which keeps everything.
+    these. A rule that is not precise enough is not kept; the bad rows it covers are set
+    aside, so that rules of less gain are grown from the rest. It ends when no bad row is
+    left to grow from, or too few are held back for any rule to be kept. No rows, or one
+    label only: an empty list, which keeps everything.
     """
     growing = [r for i, r in enumerate(rows) if i % 3]
     holding = [r for i, r in enumerate(rows) if not i % 3]
+    aside: list[dict] = []
     rules: list[Rule] = []
-    while len(rules) < MAX_RULES:
+    while _counts(holding)[0] >= MIN_FOUND:
         conditions: list[Condition] = []
         covered = growing
         while len(conditions) < MAX_CONDITIONS:
@@ -196,11 +199,13 @@ def learn_rules(rows: Sequence[dict]) -> DecisionList:
         length = max(range(1, len(conditions) + 1), key=lambda k: (worth(k), -k))
         rule = Rule(tuple(conditions[:length]))
         p, n = _counts([r for r in holding if rule.holds(r)])
-        q, m = _counts([r for r in growing if rule.holds(r)])
+        q, m = _counts([r for r in growing + aside if rule.holds(r)])
         if p < MIN_FOUND or min(p / (p + n), q / (q + m)) < MIN_PRECISION:
-            break
+            aside += [r for r in growing if r["bad"] and rule.holds(r)]
+            growing = [r for r in growing if not (r["bad"] and rule.holds(r))]
+            continue
         rules.append(rule)
-        growing = [r for r in growing if not rule.holds(r)]
+        growing, aside = ([r for r in part if not rule.holds(r)] for part in (growing, aside))
         holding = [r for r in holding if not rule.holds(r)]
     return DecisionList(tuple(rules))
 

@@ -2,11 +2,12 @@
 
 import hashlib
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from mirrorwell.llm import (chat, exact_dedup, html_text, line_dedup, lm_score, mixing, near_dup, packing,
+from mirrorwell.llm import (chat, common, exact_dedup, html_text, line_dedup, lm_score, mixing, near_dup, packing,
                             quality, substring_dedup)
 
 SCHEMA = "doc_id long, text string, source string, row_print string, key int, part int"
@@ -100,6 +101,60 @@ def test_quality(docs, spark):
     assert learned.rules and all(learned.rules[0].holds(r) == bool(r["bad"]) for r in told)
 
 
+def test_quality_rules_go_on_after_one_that_fails():
+    # the largest bad region is bad for nine in ten only; a smaller one is bad throughout
+    told = []
+    for i in range(3000):
+        row = dict.fromkeys(quality.FEATURES, 0.0) | {"bad": 0, "n_words": float(i % 97)}
+        if i % 3000 < 900:
+            row |= {"symbol_share": 1.0, "bad": int(i % 10 > 0)}
+        elif i < 1100:
+            row |= {"repeat_share": 1.0, "bad": 1}
+        told.append(row)
+    learned = quality.learn_rules(told)
+    rejected = [r for r in told if any(rule.holds(r) for rule in learned.rules)]
+    assert sum(r["repeat_share"] for r in rejected) == 200
+    assert sum(not r["bad"] for r in rejected) <= 0.03 * len(rejected)
+
+
+def test_quality_rules_of_many_kinds():
+    told = [dict.fromkeys(quality.FEATURES, 0.0) | {"n_words": float(i % 320), "bad": int(i % 20 >= 15)}
+            for i in range(6400)]
+    learned = quality.learn_rules(told)
+    assert len(learned.rules) == 16
+    assert all(any(rule.holds(r) for rule in learned.rules) == bool(r["bad"]) for r in told)
+
+
+def test_packing_exchanges_until_no_bin_is_saved(spark, monkeypatch):
+    monkeypatch.setattr(packing, "PARTITION_PIECES", 40)
+    lengths = [200 + i * 7919 % 400 for i in range(600)] + [1000, 1000]
+    pieces = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "piece long, length long")
+    rounds = []
+
+    class Kept(common.Scratch):
+        def keep(self, df, name):
+            rounds.append(name)
+            return super().keep(df, name)
+
+    rows = packing.pack_pieces(pieces, Kept(spark, "test"), 1000).collect()
+    assert sorted(r.piece for r in rows) == list(range(602)) and len(rounds) > 2
+    bins, parts = {}, {}
+    for r in rows:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+        parts.setdefault(r.part, set()).add(r.gap)
+    for places in bins.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 1000
+    # what is not certified is told, and all that is told explains what is above the bound
+    gap = sum(max(g) for g in parts.values())
+    bound = packing.lower_bound(np.array(lengths), 1000)
+    alone = [packing.best_fit_decreasing(np.array(lengths[i::15]), 1000)[0].max() + 1 for i in range(15)]
+    assert bound <= len(bins) <= sum(alone) and len(bins) - gap <= bound + len(parts)
+
+
 def test_packing(docs, empty):
     paths = [public_tokenizers.path(f"byte_bpe_50k.{kind}") for kind in ("json", "tiktoken")]
     rows = packing.pack_documents(docs, *paths, capacity=64).collect()
