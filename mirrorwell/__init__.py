@@ -4,6 +4,7 @@ from mirrorwell.config import RefreshConfig
 from mirrorwell.plans.refresh import (
     cancel_job,
     cleanup_job,
+    compact_target,
     copy_tables,
     plan_refresh,
     run_refresh,
@@ -20,6 +21,7 @@ __all__ = [
     "RefreshConfig",
     "cancel_job",
     "cleanup_job",
+    "compact_target",
     "copy_tables",
     "plan_refresh",
     "run_refresh",

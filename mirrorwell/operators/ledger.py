@@ -4,6 +4,9 @@ Files cannot be updated in place, so each change is one more event that sets the
 fields it knows and leaves the others NULL. The state of a job or of one of its
 tables is the last value set for every field. That is an aggregation, not a sorted
 window: a job with a third of all events is still reduced where it is read.
+
+``Ledger.compact`` keeps the events that the present states are told by and forgets
+dropped jobs, so a ledger grows with its jobs and not with what happened to them.
 """
 
 from __future__ import annotations
@@ -14,12 +17,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mirrorwell.operators.publish import append_log, read_log
+from mirrorwell.operators.publish import Generations, append_log, read_log, write_log
+from mirrorwell.session import materialize, work_dir
 
 # The states a job and a table may be in.
 JOB_STATUSES = ("PLANNED", "RUNNING", "DONE", "FAILED", "CANCELLED")
 TABLE_STATUSES = ("PLANNED", "RUNNING", "DONE", "FAILED", "SKIPPED", "CANCELLED")
 TERMINAL_STATUSES = ("DONE", "FAILED", "CANCELLED")
+#: States a table does not leave by itself.
+TABLE_ENDS = tuple(s for s in TABLE_STATUSES if s not in ("PLANNED", "RUNNING"))
 RESULT_STATUSES = {"ok": "DONE", "skipped": "SKIPPED", "failed": "FAILED"}
 OTHER_RESULT = "CANCELLED"
 
@@ -85,10 +91,32 @@ def current_jobs(events: DataFrame, fields: Sequence[str] = JOB_FIELDS) -> DataF
 
 def current_tables(events: DataFrame, fields: Sequence[str] = TABLE_FIELDS) -> DataFrame:
     """One row per job and table."""
-    over = F.col("status").isin(*[s for s in TABLE_STATUSES if s not in ("PLANNED", "RUNNING")])
+    over = F.col("status").isin(*TABLE_ENDS)
     return events.groupBy("job_id", "table_name").agg(*[last_set(f) for f in fields], *_times(over))
 
 
+def deciding_events(events: DataFrame, keys: Sequence[str], fields: Sequence[str], ends: Sequence[str]) -> DataFrame:
+    """``(*keys, seq)`` of the events that :func:`current_jobs` and :func:`current_tables`
+    tell the state by: the last that sets each field, the last with a status, the first
+    start and the last end. At most one per field and three more for each key."""
+    seqs = [F.max(F.when(F.col(f).isNotNull(), F.col("seq"))) for f in dict.fromkeys([*fields, "status", "error"])]
+    started = F.min_by("seq", F.when(F.col("status") == "RUNNING", F.col("event_at")))
+    ended = F.max_by("seq", F.when(F.col("status").isin(*ends), F.col("event_at")))
+    # an event that sets nothing still tells that its key is there
+    told = events.groupBy(*keys).agg(F.array_distinct(F.array_compact(
+        F.array(*seqs, started, ended, F.max("seq")))).alias("_seqs"))
+    return told.select(*keys, F.explode("_seqs").alias("seq"))
+
+
+def compacted(events: DataFrame, keys: Sequence[str], fields: Sequence[str], ends: Sequence[str]) -> DataFrame:
+    """The deciding events, whole. Every state told by them is the one told by all. What
+    decides is written first: joined in the plan that groups by the key, a key with very
+    many events could not be split."""
+    decide = materialize(
+        deciding_events(events, keys, fields, ends), work_dir(events.sparkSession, "deciding"))
+    return events.join(decide, [*keys, "seq"], "left_semi").select(*events.columns)
+
+
 # The part of a stored configuration that listings show.
 CONFIG_FIELDS = (
     "source_schema string, target_schema string, tables array<string>, commit_mode string, "
@@ -133,15 +161,32 @@ class Ledger:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.generations = Generations(spark, self.root, ["jobs", "tables", "dropped"])
 
     def job_events(self) -> DataFrame:
-        kept = read_log(self.spark, f"{self.root}/jobs", JOB_EVENTS)
+        kept = read_log(self.spark, self.generations.path("jobs"), JOB_EVENTS)
         return without_jobs(kept, self._dropped())
 
     def table_events(self) -> DataFrame:
-        kept = read_log(self.spark, f"{self.root}/tables", TABLE_EVENTS)
+        kept = read_log(self.spark, self.generations.path("tables"), TABLE_EVENTS)
         return without_jobs(kept, self._dropped())
 
+    def compact(self, nobody_writes: bool = False) -> None:
+        """Rewrite the ledger as the events its states are told by. Dropped jobs leave it,
+        and so does the list of them. Refused while a job runs, which could write meanwhile;
+        ``nobody_writes`` tells that jobs shown as running were lost with their drivers."""
+        running = self.jobs().where("status = 'RUNNING'").select("job_id").limit(1).collect()
+        if running and not nobody_writes:
+            raise ValueError(f"job {running[0].job_id} is running")
+
+        def write(folder: str) -> None:
+            jobs = compacted(self.job_events(), ["job_id"], JOB_FIELDS, TERMINAL_STATUSES)
+            write_log(jobs, f"{folder}/jobs")
+            tables = compacted(self.table_events(), ["job_id", "table_name"], TABLE_FIELDS, TABLE_ENDS)
+            write_log(tables, f"{folder}/tables")
+
+        self.generations.advance(write)
+
     def jobs(self) -> DataFrame:
         return current_jobs(self.job_events())
 
@@ -179,17 +224,23 @@ class Ledger:
             raise KeyError(f"unknown job {job_id}")
         if job.status == "RUNNING":
             raise ValueError(f"job {job_id} is running; cancel it first")
-        append_log(self.spark, f"{self.root}/dropped", [{"job_id": job_id}], _DROPPED)
+        append_log(self.spark, self.generations.path("dropped"), [{"job_id": job_id}], _DROPPED)
+
+    def drop_jobs(self, jobs: DataFrame) -> None:
+        """Forget all jobs in ``jobs`` (by ``job_id``) that are not running."""
+        running = self.jobs().where("status = 'RUNNING'")
+        gone = jobs.select("job_id").distinct().join(running, "job_id", "left_anti")
+        gone.write.mode("append").parquet(self.generations.path("dropped"))
 
     def _dropped(self) -> DataFrame:
-        return read_log(self.spark, f"{self.root}/dropped", _DROPPED)
+        return read_log(self.spark, self.generations.path("dropped"), _DROPPED)
 
     def _append(
         self, name: str, schema: T.StructType, rows: Sequence[dict], stamp: Sequence[str] = ()
     ) -> None:
         if not rows:
             return
-        path = f"{self.root}/{name}"
+        path = self.generations.path(name)
         seq = read_log(self.spark, path, schema).agg(F.max("seq")).first()[0] or 0
         complete = [
             {"seq": seq + i, **row, "error": row.get("error") or None}

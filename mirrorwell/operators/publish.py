@@ -8,12 +8,15 @@ good if a check fails, readers keep the version they had. One writer per target.
 A version is one manifest row. A table whose partitions were exchanged has one row per
 partition instead, each naming the version that holds it: untouched partitions are
 carried over by reference, and nothing is copied or changed in place.
+
+Logs grow by one small file per append. ``compact`` writes what still matters as a new
+generation of the log and switches to it by one marker file; see :class:`Generations`.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -21,7 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mirrorwell.session import facts_frame, materialize, path_exists, remove_path, work_dir
+from mirrorwell.session import (
+    child_names, facts_frame, materialize, path_exists, remove_path, touch, work_dir,
+)
 from mirrorwell.sources.files import qualified
 
 MANIFEST = T.StructType(
@@ -73,18 +78,87 @@ def append_log(
     added.coalesce(1).write.mode("append").parquet(path)
 
 
+class Generations:
+    """The logs under ``root`` and their compacted successors.
+
+    Generation 0 are the logs as they were begun, in ``root`` itself; generation n lies in
+    ``<root>/generations/<n>`` and counts once ``<n>.ready`` stands beside it. A compaction
+    that is lost on the way leaves no marker, so readers keep the generation they had and
+    the next attempt overwrites what is there. The generation before the current one stays,
+    for readers that planned on it; older ones are removed.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, logs: Sequence[str]):
+        self.spark = spark
+        self.root = root
+        self.logs = tuple(logs)
+
+    def number(self) -> int:
+        names = child_names(self.spark, f"{self.root}/generations")
+        return max((int(n.removesuffix(".ready")) for n in names if n.endswith(".ready")), default=0)
+
+    def folder(self, number: int) -> str:
+        return f"{self.root}/generations/{number}" if number else self.root
+
+    def path(self, log: str) -> str:
+        return f"{self.folder(self.number())}/{log}"
+
+    def advance(self, write: Callable[[str], None]) -> int:
+        """``write`` fills the next generation's folder; then it is the current one."""
+        number = self.number() + 1
+        remove_path(self.spark, self.folder(number))
+        write(self.folder(number))
+        touch(self.spark, f"{self.folder(number)}.ready")
+        if number >= 2:
+            self._remove(number - 2)
+        return number
+
+    def _remove(self, number: int) -> None:
+        if number == 0:
+            for log in self.logs:
+                remove_path(self.spark, f"{self.root}/{log}")
+            return
+        remove_path(self.spark, f"{self.folder(number)}.ready")
+        remove_path(self.spark, self.folder(number))
+
+
+def write_log(log: DataFrame, path: str) -> None:
+    """A log in as few files as its size asks for."""
+    log.hint("rebalance").write.parquet(path)
+
+
 class Target:
     """A folder of published tables."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.generations = Generations(spark, self.root, ["manifest"])
 
     def version_path(self, table: str, job_id: str) -> str:
         return f"{self.root}/tables/{table}/v={job_id}"
 
     def manifest(self) -> DataFrame:
-        return read_log(self.spark, f"{self.root}/manifest", MANIFEST)
+        return read_log(self.spark, self.generations.path("manifest"), MANIFEST)
+
+    def compact(self) -> None:
+        """Rewrite the manifest: of every table its newest rows, and one row for each older
+        version, which is still on disk. Partition rows of older states go."""
+        def write(folder: str) -> None:
+            rows = self.manifest()
+            newest = rows.groupBy("table_name").agg(F.max("seq").alias("_newest"))
+            newest = materialize(newest, work_dir(self.spark, "newest"))
+            dated = rows.join(newest, "table_name")
+            current = dated.where(F.col("seq") == F.col("_newest")).select(*MANIFEST.names)
+            older = (
+                dated.where(F.col("seq") < F.col("_newest"))
+                .groupBy("table_name", "version_path")
+                .agg(F.max_by(F.struct(*MANIFEST.names), "seq").alias("_row"))
+                .select("_row.*")
+            )
+            write_log(current.unionByName(older), f"{folder}/manifest")
+
+        self.generations.advance(write)
 
     def current(self) -> DataFrame:
         """What is published of every table: as the manifest, but one row per table, with the
@@ -182,11 +256,11 @@ class Target:
             else:
                 rows.append(row)
         if not parts:
-            append_log(self.spark, f"{self.root}/manifest", rows, MANIFEST, ["published_at"])
+            append_log(self.spark, self.generations.path("manifest"), rows, MANIFEST, ["published_at"])
             return
         whole = facts_frame(self.spark, [{n: r.get(n) for n in MANIFEST.names} for r in rows], MANIFEST)
         added = reduce(DataFrame.unionByName, parts, whole).withColumn("published_at", F.current_timestamp())
-        added.coalesce(1).write.mode("append").parquet(f"{self.root}/manifest")
+        added.coalesce(1).write.mode("append").parquet(self.generations.path("manifest"))
 
     def _exchanged(self, row: dict, version: Version, before) -> DataFrame:
         """Manifest rows of a table some of whose partitions were replaced."""

@@ -434,6 +434,17 @@ FROM events""",
 WITH {_JOB_EVENTS}
 SELECT job_id, table_name, seq, status FROM ev
 WHERE job_id NOT IN (SELECT job_id FROM last_status WHERE status = 'FAILED')""",
+    "ledger_compacted": f"""
+WITH {_JOB_EVENTS}
+SELECT job_id, table_name,
+       arg_max(rows_source, seq) FILTER (WHERE rows_source IS NOT NULL) AS rows_source,
+       arg_max(rows_target, seq) FILTER (WHERE rows_target IS NOT NULL) AS rows_target,
+       arg_max(status, seq) FILTER (WHERE status IS NOT NULL) AS status,
+       arg_max(error, seq) FILTER (WHERE error IS NOT NULL) AS error,
+       min(ts) FILTER (WHERE status = 'RUNNING') AS started_at,
+       max(ts) FILTER (WHERE status IN ('DONE', 'FAILED')) AS ended_at
+FROM ev WHERE job_id NOT IN (SELECT job_id FROM last_status WHERE status = 'FAILED')
+GROUP BY job_id, table_name""",
     "commit_per_table": _commit("SELECT count(*) FROM customer", "SELECT count(*) FROM part"),
     "commit_deferred": _commit(
         "SELECT count(*) FROM customer WHERE c_acctbal < 0",

@@ -662,6 +662,30 @@ def ledger_drop(spark, sf_dir):
     return ledger.without_jobs(events, failed).select("job_id", "table_name", "seq", "status")
 
 
+@query
+def ledger_compacted(spark, sf_dir):
+    """States of tables told by a ledger that was compacted between its events, and again
+    after the jobs that failed last were dropped."""
+    book = ledger.Ledger(spark, work_dir(spark, "compacted"))
+    logs = {
+        "jobs": (derived.job_events(spark, sf_dir), ledger.JOB_EVENTS),
+        "tables": (derived.table_events(spark, sf_dir), ledger.TABLE_EVENTS),
+    }
+    middle = table(spark, sf_dir, "events").agg(F.avg("event_id")).first()[0] or 0
+    for half in (F.col("seq") <= middle, F.col("seq") > middle):
+        for name, (events, schema) in logs.items():
+            whole = events.select(*[
+                F.col(f.name) if f.name in events.columns else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in schema
+            ])
+            whole.where(half).write.mode("append").parquet(book.generations.path(name))
+        book.compact(nobody_writes=True)
+    book.drop_jobs(book.jobs().where("status = 'FAILED'"))
+    book.compact(nobody_writes=True)
+    fields = ["rows_source", "rows_target", "status", "error"]
+    return ledger.current_tables(book.table_events(), fields)
+
+
 # Runs
 
 

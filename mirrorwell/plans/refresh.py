@@ -11,6 +11,7 @@ from __future__ import annotations
 import json
 import threading
 import time
+import uuid
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
@@ -32,7 +33,9 @@ from mirrorwell.operators.orphans import ForeignKey, check_foreign_keys, orphan_
 from mirrorwell.operators.project import check_writable, project_to_target
 from mirrorwell.operators.publish import Target, Version
 from mirrorwell.operators.strategy import REFUSED, with_strategy
-from mirrorwell.session import SMALL_STATE, facts_frame, path_exists, work_dir
+from mirrorwell.session import (
+    SMALL_STATE, facts_frame, path_exists, remove_path, scratch_folder, scratch_of, work_dir,
+)
 from mirrorwell.sources.base import Source, SnapshotTooOld, present
 from mirrorwell.sources.files import Snapshot, footer_frames
 
@@ -225,7 +228,8 @@ def plan_refresh(
     job_id = new_job_id(spark)
     target = Target(spark, target_root)
     declared = _declared(spark, constraints, config.source_schema).collect()
-    order = _order(spark, declared, config)
+    with scratch_of(spark, f"plan-{job_id}"):
+        order = _order(spark, declared, config)
     names = [r.table_name for r in order]
     here = present(source, spark, names)
 
@@ -422,9 +426,10 @@ def run_refresh(
         )
     run = _Run(plan, check_cancelled, strategies or {}, resume)
     try:
-        run.load_all()
-        foreign_keys, errors = run.check_keys()
-        next_ids = run.next_ids(id_columns)
+        with scratch_of(plan.spark, f"job-{plan.job_id}"):
+            run.load_all()
+            foreign_keys, errors = run.check_keys()
+            next_ids = run.next_ids(id_columns)
     except Exception as error:
         if book is not None:
             book.record_job(plan.job_id, status="FAILED", error=str(error))
@@ -831,10 +836,27 @@ def cancel_job(spark: SparkSession, target_root: str, job_id: str) -> None:
 
 
 def cleanup_job(spark: SparkSession, target_root: str, job_id: str) -> None:
-    """Forget a job that is not running and remove versions it never published."""
+    """Forget a job that is not running. Versions it never published go, and its plan, its
+    snapshot unless another job reads by it, and what a lost driver left of its scratch."""
     target = Target(spark, target_root)
     book = ledger.Ledger(spark, f"{target.root}/ledger")
     tables = [r.table_name for r in book.tables(job_id).select("table_name").collect()]
+    job = book.job(job_id)
     book.drop(job_id)
     for table in tables:
         target.discard(table, job_id)
+    remove_path(spark, f"{target.root}/plans/{job_id}")
+    pins = job.snapshot_id
+    if pins and pins.startswith(f"{target.root}/") and book.jobs().where(F.col("snapshot_id") == pins).isEmpty():
+        remove_path(spark, pins)
+    remove_path(spark, scratch_folder(spark, f"job-{job_id}"))
+
+
+def compact_target(spark: SparkSession, target_root: str, nobody_writes: bool = False) -> None:
+    """Rewrite ledger and manifest of a target without what no longer matters; refused
+    while one of its jobs runs, unless ``nobody_writes`` tells that its driver is gone.
+    Tables, plans and snapshots stay as they are."""
+    target = Target(spark, target_root)
+    with scratch_of(spark, f"compact-{uuid.uuid4().hex}"):
+        ledger.Ledger(spark, f"{target.root}/ledger").compact(nobody_writes)
+        target.compact()

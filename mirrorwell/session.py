@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 _SETTING = "spark.checkpoint.dir"
+_OWNER = "mirrorwell.scratch.owner"
 _local_dirs: dict[str, str] = {}
 
 
@@ -35,7 +37,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new folder name under the shared folder; nothing is created yet."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+    owner = spark.sparkContext.getLocalProperty(_OWNER)
+    base = scratch_folder(spark, owner) if owner else shared_dir(spark)
+    return f"{base}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def scratch_folder(spark: SparkSession, owner: str) -> str:
+    return f"{shared_dir(spark)}/{owner}"
+
+
+@contextmanager
+def scratch_of(spark: SparkSession, owner: str) -> Iterator[None]:
+    """Work folders named inside, by this thread or by one that inherits its properties,
+    lie in a folder of ``owner`` and are removed with it at the end, whatever happens.
+    No DataFrame that is read later may depend on them."""
+    context = spark.sparkContext
+    before = context.getLocalProperty(_OWNER)
+    context.setLocalProperty(_OWNER, owner)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(_OWNER, before)
+        remove_path(spark, scratch_folder(spark, owner))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -43,6 +66,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    if not path_exists(spark, path):
+        return []
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(hadoop)
+    return [f.getPath().getName() for f in found]
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, there at once or not at all."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(hadoop)
+
+
 def remove_path(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -11,7 +11,7 @@ from tests.fixtures import DATA
 QUICK = (
     "copy_chunked", "copy_partitioned", "copy_partition_overwrite", "table_profile", "fk_cross_schema", "snapshot_read", "project_drift", "chunk_ranges", "chunk_depths",
     "fk_closure", "fk_cycles", "verify_sample", "verify_diff", "fk_orphans", "trigger_sequences",
-    "strategy_choice", "ledger_latest", "ledger_tables", "ledger_drop",
+    "strategy_choice", "ledger_latest", "ledger_tables", "ledger_drop", "ledger_compacted",
 )
 
 

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from mirrorwell import (
-    FileSource, RefreshConfig, cancel_job, cleanup_job, copy_tables, plan_refresh, run_refresh, verify_job,
+    FileSource, RefreshConfig, cancel_job, cleanup_job, compact_target, copy_tables, plan_refresh,
+    run_refresh, verify_job,
 )
 from mirrorwell.operators.graph import CycleError
 from mirrorwell.operators.ledger import Ledger
@@ -11,7 +12,7 @@ from mirrorwell.operators.project import NoCommonColumns, UnwritableType
 from mirrorwell.operators.publish import Target
 from mirrorwell.plans import refresh
 from mirrorwell.plans.refresh import load_plan
-from mirrorwell.session import path_exists, remove_path
+from mirrorwell.session import child_names, path_exists, remove_path, shared_dir
 from mirrorwell.sources.base import SnapshotTooOld
 from tests.fixtures import constraints_of, people
 
@@ -239,3 +240,32 @@ def test_chunked_run(spark, folder, shop):
     row = result.tables.first()
     assert (row.strategy, row.rows_target, row.match) == ("chunked_staging", 25, True)
     assert Target(spark, f"{folder}/t").read("PEOPLE").columns == ["id", "name", "age"]
+
+
+def test_compacted_target_is_read_and_refreshed_as_before(spark, folder, shop, cons):
+    first = copy_tables(spark, shop, f"{folder}/t", config("child, people"), cons)
+    second = copy_tables(spark, shop, f"{folder}/t", config("people"))
+    target, book = Target(spark, f"{folder}/t"), Ledger(spark, f"{folder}/t/ledger")
+    before = target.current().orderBy("table_name").collect()
+    jobs = book.newest().collect()
+    compact_target(spark, f"{folder}/t")
+    assert target.current().orderBy("table_name").collect() == before and book.newest().collect() == jobs
+    # versions that were replaced are still known as published
+    assert not target.discard("PEOPLE", first.job_id) and target.read("PEOPLE").count() == 25
+    third = copy_tables(spark, shop, f"{folder}/t", config("people"))
+    assert third.success and target.entry("PEOPLE").job_id == third.job_id
+    assert all(r.match for r in verify_job(spark, shop, f"{folder}/t", second.job_id).collect())
+    for _ in range(2):
+        compact_target(spark, f"{folder}/t")
+    assert target.entry("PEOPLE").job_id == third.job_id and len(book.newest().collect()) == 3
+
+
+def test_no_scratch_is_left_of_a_run(spark, folder, shop, cons, monkeypatch):
+    monkeypatch.setattr(refresh, "SMALL_STATE", 0)  # loop states are written
+    before = set(child_names(spark, shared_dir(spark)))
+    result = copy_tables(spark, shop, f"{folder}/t", config("child"), cons)
+    assert result.success
+    compact_target(spark, f"{folder}/t")
+    assert set(child_names(spark, shared_dir(spark))) - before <= {folder.rsplit("/", 1)[1]}
+    cleanup_job(spark, f"{folder}/t", result.job_id)
+    assert child_names(spark, f"{folder}/t/plans") == child_names(spark, f"{folder}/t/snapshots") == []
