@@ -35,8 +35,11 @@ SPARE_SHARE = 0.1
 #: Bits of a compared sketch for each shingle; the low bits of a key tell its band.
 SKETCH_BITS = 2
 BAND_BITS = 6
-#: Piece keys per bucket that one task holds, about, and members of a key compared at once.
-BUCKET_BYTES = 24 << 20
+#: Piece keys per bucket that one task holds, about, keys gathered before they are sent, and
+#: members of a key compared at once. A bucket is held several times over: by Spark as it is
+#: sorted and handed to Python, and there as keys, their order and what is sent back.
+BUCKET_BYTES = 8 << 20
+HELD_KEYS = 1 << 19
 BLOCK = 2000
 #: Of the keys a document is compared in, the smallest so many tell which key names a pair. A
 #: pair is always named by the smallest key it shares, by others only if that one is not listed.
@@ -192,7 +195,7 @@ def _piece_blobs(words: int, percent: int, buckets: int):
                     keys.append(found)
                     docs.append(np.full(len(found), ids[row], np.int64))
                     held += len(found)
-                if held > 1_000_000:
+                if held > HELD_KEYS:
                     yield flush(keys, docs)
                     keys, docs, held = [], [], 0
         if keys:
@@ -202,15 +205,16 @@ def _piece_blobs(words: int, percent: int, buckets: int):
 
 def _met_keys(table: pa.Table) -> pa.Table:
     """Keys of a bucket that more than one document has, with those documents."""
-    key = np.concatenate([np.frombuffer(b, _U) for b in table.column("keys").to_pylist()])
-    doc = np.concatenate([np.frombuffer(b, np.int64) for b in table.column("docs").to_pylist()])
+    key = np.concatenate([np.frombuffer(b.as_buffer(), _U) for b in table.column("keys")])
     order = np.argsort(key, kind="stable")
-    key, doc = key[order], doc[order]
+    key = key[order]
     equal = key[1:] == key[:-1]
     met = np.zeros(len(key), bool)
     met[1:] |= equal
     met[:-1] |= equal
-    return pa.table({"key": pa.array(signed(key[met])), "doc_id": pa.array(doc[met])})
+    key, order = key[met], order[met]
+    doc = np.concatenate([np.frombuffer(b.as_buffer(), np.int64) for b in table.column("docs")])
+    return pa.table({"key": pa.array(signed(key)), "doc_id": pa.array(doc[order])})
 
 
 def _near_in_group(percent: int):

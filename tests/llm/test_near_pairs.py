@@ -1,5 +1,8 @@
 """A pair that shares several keys is named by the smallest, and never lost."""
 
+import random
+import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 
@@ -41,3 +44,30 @@ def test_keys_to_reopen(spark):
     placed = spark.createDataFrame(rows, "key long, node long, component long")
     found = {r.key for r in near_dup.keys_to_reopen(placed).collect()}
     assert found == {key(2, 0), key(4, 1), key(6, 0)}
+
+
+def test_a_bucket_of_keys_is_small():
+    """What one task gets of texts without copies, by the number of buckets for so many bytes."""
+    rng = random.Random(5)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randrange(100, 500))) for _ in range(400)]
+    batch = pa.record_batch([pa.array(range(400), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    sent = sum(out.column(name).nbytes for out in near_dup._piece_blobs(5, 80, 8)(iter([batch]))
+               for name in ("keys", "docs"))
+    share = sent / sum(len(t) for t in texts)
+    assert share * near_dup.BUCKET_BYTES / 2 < 12 << 20
+
+
+def test_met_keys_holds_little_beside_its_bucket():
+    rng = np.random.default_rng(1)
+    keys = [rng.permutation(np.arange(i * 50_000, (i + 1) * 50_000, dtype=np.uint64)) for i in range(10)]
+    keys[3][:3] = keys[7][:3]
+    docs = [np.full(50_000, i, np.int64) for i in range(10)]
+    table = pa.table({"keys": [k.tobytes() for k in keys], "docs": [d.tobytes() for d in docs]})
+    size = sum(k.nbytes for k in keys + docs)
+    tracemalloc.start()
+    out = near_dup._met_keys(table)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(out.column("doc_id").to_pylist()) == [3, 3, 3, 7, 7, 7]
+    assert sorted(set(out.column("key").to_pylist())) == sorted(keys[7][:3].tolist())
+    assert peak < 2 * size
