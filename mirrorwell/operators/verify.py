@@ -22,6 +22,11 @@ Frames = Mapping[str, DataFrame]
 # Buckets that tell where two tables differ. Every task sends one sum per bucket, so
 # more of them would cost more than the finer search saves.
 DIFF_BUCKETS = 1024
+# Bits of the broadcast filter that finds the rows that differ: so many for each of them,
+# and at most so many in all (64 MB), in words of 64 that are joined by the group.
+ROW_BITS = 8
+FILTER_BITS = 1 << 29
+GROUP_WORDS = 16
 
 
 def _stack(parts: Sequence[DataFrame]) -> DataFrame:
@@ -109,9 +114,10 @@ def diff(source: DataFrame, target: DataFrame, buckets: int = DIFF_BUCKETS) -> D
     sum per bucket of row hashes, so equal tables shuffle nothing but ``buckets`` sums.
     Within buckets that differ two hashes of each row and a signed count move, 24 bytes,
     so changes all over the tables do not move the rows beside them. Whole rows move only
-    where the counts do not cancel out. Equal rows are counted before they move; a row
-    repeated a billion times travels once per task. Two different rows are taken for one
-    if both their 64-bit hashes agree.
+    where the counts do not cancel out, and with them one row in eight or less that shares
+    a bit of a broadcast filter with those; more if over ``FILTER_BITS / ROW_BITS`` rows
+    differ. Equal rows are counted before they move; a row repeated a billion times travels
+    once per task. Two different rows are taken for one if both their 64-bit hashes agree.
     """
     columns = source.columns
     target = target.select(*[f"`{c}`" for c in columns])
@@ -129,12 +135,13 @@ def diff(source: DataFrame, target: DataFrame, buckets: int = DIFF_BUCKETS) -> D
         suspects.groupBy("_hash", "_other")
         .agg(F.sum("_sign").alias("_more"))
         .where("_more != 0")
-        .select("_hash", "_other")
+        .select("_hash")
     )
-    # written, so that its size decides how the rows are met
+    # written, so that their number decides the size of the filter
     hashes = materialize(hashes, work_dir(source.sparkSession, "differing"))
+    # rows that only share a bit cancel out as they are counted
     return (
-        suspects.join(hashes, ["_hash", "_other"], "left_semi")
+        _likely_in(suspects, hashes)
         .groupBy(*[f"`{c}`" for c in columns])
         .agg(F.sum("_sign").alias("more"))
         .where("more != 0")
@@ -146,6 +153,29 @@ def diff(source: DataFrame, target: DataFrame, buckets: int = DIFF_BUCKETS) -> D
     )
 
 
+def _likely_in(rows: DataFrame, hashes: DataFrame) -> DataFrame:
+    """Rows whose ``_hash`` may be among ``hashes``: all that are, and some that share a bit
+    with one. Rows do not move to be found."""
+    bits = min(FILTER_BITS, max(1 << 16, 1 << (ROW_BITS * hashes.count()).bit_length()))
+    at = F.pmod("_hash", F.lit(bits)).alias("_other")
+    # the columns' own names again, as a table may have any other: place of the bit, its group
+    group = F.expr(f"_other div {64 * GROUP_WORDS}")
+    word = F.expr(f"cast(_other div 64 % {GROUP_WORDS} as int)")
+    inside = F.expr("cast(_other % 64 as int)")
+    set_bit = F.expr("shiftleft(1L, cast(_other % 64 as int))")
+    words = F.array(
+        *[F.bit_or(F.when(word == i, set_bit).otherwise(F.lit(0).cast("bigint"))) for i in range(GROUP_WORDS)]
+    )
+    # dealt by group first: a hash is smaller than the group it falls in
+    marks = (
+        hashes.select(at).withColumn("_bucket", group).repartition("_bucket")
+        .groupBy("_bucket").agg(words.alias("_hash"))
+    )
+    placed = rows.withColumn("_other", at).withColumn("_bucket", group).drop("_hash")
+    found = placed.join(F.broadcast(marks), "_bucket")
+    return found.where(F.getbit(F.get("_hash", word), inside) == 1).drop("_hash", "_other", "_bucket")
+
+
 def _tagged(df: DataFrame, sign: int) -> DataFrame:
     return df.select(
         *canonical_columns(df), row_hash(df).alias("_hash"), row_hash(df, seed=1).alias("_other"),

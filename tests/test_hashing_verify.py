@@ -2,6 +2,7 @@ import datetime
 import random
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from mirrorwell.functions.hashing import canonical, row_hash
@@ -114,6 +115,30 @@ def test_diff_of_one_hot_row(spark):
     assert [tuple(r) for r in verify.diff(hot, short).collect()] == [(-1, "source", 1_000)]
 
 
+def test_diff_moves_no_whole_rows_to_find_those_that_differ(spark):
+    """Not even where the hashes of those that differ are too large for a broadcast join."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        found = verify.diff(spark.range(100).toDF("k"), spark.range(50, 120).toDF("k"))
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert found.count() == 70
+    finally:
+        spark.conf.set(limit, before)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("bits", [1, 8, 4096])
+def test_diff_with_a_crowded_filter(spark, monkeypatch, bits):
+    monkeypatch.setattr(verify, "FILTER_BITS", bits)
+    names = ["_bit", "_group", "_words"]
+    left = spark.range(300).select(*[(F.col("id") % 90 + i).alias(n) for i, n in enumerate(names)])
+    right = left.where("_bit <> 7").unionByName(left.where("_bit = 11"))
+    rows = {tuple(r) for r in verify.diff(left, right).collect()}
+    assert rows == {(7, 8, 9, "source", 4), (11, 12, 13, "target", 4)}
+
+
 def test_outcome(spark):
     rows = [("A", "ok", True), ("B", "failed", False), ("C", "skipped", None)]
     df = spark.createDataFrame(rows, "table_name string, status string, match boolean")
