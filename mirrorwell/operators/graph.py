@@ -84,28 +84,22 @@ def fk_levels(edges: DataFrame, nodes: DataFrame, small: bool = False) -> DataFr
     highest parent. ``level`` is NULL for tables on a cycle or depending on one."""
     state = LoopState(edges.sparkSession, "levels", small)
     placed, stuck = _peel(edges, state)
-    deepest = reduce(
-        DataFrame.unionByName,
-        [
-            _children(e).withColumn("level", F.lit(i + 1))
-            for i, e in enumerate(placed)
-        ],
-    )
-    levels = deepest.groupBy(*NODE).agg(F.max("level").alias("level"))
+
+    def seen(named: DataFrame, level: int | None, asked: bool, waits: bool) -> DataFrame:
+        return named.select(
+            *NODE, F.lit(level).cast("int").alias("level"), F.lit(asked).alias("_asked"), F.lit(waits).alias("_waits")
+        )
+
+    # one grouping instead of joins, so nothing is sorted; a NULL name meets no key
+    found = [seen(children.dropna(), i + 1, False, False) for i, children in enumerate(placed)]
     if stuck is not None:
-        levels = levels.join(
-            _children(stuck).withColumn("_stuck", F.lit(True)), list(NODE), "left"
-        ).select(*NODE, F.when(F.col("_stuck").isNull(), F.col("level")).alias("level"), "_stuck")
-    else:
-        levels = levels.withColumn("_stuck", F.lit(None).cast("boolean"))
+        found.append(seen(_end(stuck, CHILD).dropna(), None, False, True))
     return (
-        nodes.select(*NODE)
-        .distinct()
-        .join(levels, list(NODE), "left")
-        .select(
-            *NODE,
-            F.when(F.col("_stuck").isNull(), F.coalesce("level", F.lit(0))).alias("level"),
-        )
+        reduce(DataFrame.unionByName, [seen(nodes, 0, True, False), *found])
+        .groupBy(*NODE)
+        .agg(F.max("level").alias("level"), F.max("_asked").alias("_asked"), F.max("_waits").alias("_waits"))
+        .where("_asked")
+        .select(*NODE, F.when(~F.col("_waits"), F.col("level")).alias("level"))
     )
 
 
@@ -146,9 +140,9 @@ def fk_cycles(edges: DataFrame) -> DataFrame:
 
 
 def _proper(edges: DataFrame) -> DataFrame:
-    """Edges without self-references."""
+    """Edges without self-references. An edge given twice is kept twice: no loop minds."""
     loop = (F.col(CHILD[0]) == F.col(PARENT[0])) & (F.col(CHILD[1]) == F.col(PARENT[1]))
-    return edges.select(*CHILD, *PARENT).where(~loop).distinct()
+    return edges.select(*CHILD, *PARENT).where(~loop)
 
 
 def _as(nodes: DataFrame, names: tuple[str, str]) -> DataFrame:
@@ -156,43 +150,51 @@ def _as(nodes: DataFrame, names: tuple[str, str]) -> DataFrame:
 
 
 def _end(edges: DataFrame, names: tuple[str, str]) -> DataFrame:
-    return edges.select(*[F.col(a).alias(n) for n, a in zip(NODE, names)]).distinct()
+    return edges.select(*[F.col(a).alias(n) for n, a in zip(NODE, names)])
 
 
 def _children(edges: DataFrame) -> DataFrame:
-    return _end(edges, CHILD)
-
+    return _end(edges, CHILD).distinct()
 
-def _shrink(edges: DataFrame, keep, state: LoopState) -> tuple[list[DataFrame], DataFrame | None]:
-    """Apply ``keep`` until no edge is left or none is removed.
 
-    Returns the edges before each round, and the stable rest if there is one.
-    """
-    rounds = [edges]
-    size = state.count(rounds[0])
+def _shrink(edges: DataFrame, keep, state: LoopState) -> DataFrame | None:
+    """Apply ``keep`` until no edge is left or none is removed; the stable rest if there
+    is one."""
+    size = state.count(edges)
     while size:
-        following = state.keep(keep(rounds[-1]))
-        left = state.count(following)
+        edges = state.keep(keep(edges))
+        left = state.count(edges)
         if left == size:
-            return rounds, following
-        rounds.append(following)
+            return edges
         size = left
-    return rounds, None
+    return None
 
 
 def _peel(edges: DataFrame, state: LoopState) -> tuple[list[DataFrame], DataFrame | None]:
     """Round by round keep the edges whose parent is itself a child.
 
-    A table that is a child in round r has level r + 1 at least.
+    Returns the children of each round, as they were settled for it, and the stable rest
+    of the edges if there is one. A table that is a child in round r has level r + 1 at least.
     """
     [proper] = state.inputs(_proper(edges))
-    return _shrink(proper, lambda e: _with_parent(e, e, state), state)
+    rounds: list[DataFrame] = []
+
+    def keep(left: DataFrame) -> DataFrame:
+        rounds.append(state.settle(_children(left)))
+        return _below(left, rounds[-1])
+
+    stuck = _shrink(proper, keep, state)
+    return rounds, stuck
+
+
+def _below(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges whose parent is among ``nodes``."""
+    return edges.join(_as(nodes, PARENT), list(PARENT), "left_semi")
 
 
 def _with_parent(edges: DataFrame, others: DataFrame, state: LoopState) -> DataFrame:
     """Edges whose parent is a child in ``others``."""
-    children = state.settle(_children(others))
-    return edges.join(_as(children, PARENT), list(PARENT), "left_semi")
+    return _below(edges, state.settle(_children(others)))
 
 
 def _trim(edges: DataFrame, state: LoopState) -> DataFrame | None:
@@ -200,10 +202,10 @@ def _trim(edges: DataFrame, state: LoopState) -> DataFrame | None:
     return _shrink(
         edges,
         lambda e: _with_parent(e, e, state).join(
-            _as(state.settle(_end(e, PARENT)), CHILD), list(CHILD), "left_semi"
+            _as(state.settle(_end(e, PARENT).distinct()), CHILD), list(CHILD), "left_semi"
         ),
         state,
-    )[1]
+    )
 
 
 def _on_cycle(edges: DataFrame, state: LoopState) -> DataFrame:
@@ -235,7 +237,7 @@ def _on_cycle(edges: DataFrame, state: LoopState) -> DataFrame:
 
 def _colour(edges: DataFrame, state: LoopState) -> DataFrame:
     name = F.struct(*NODE)
-    nodes = _children(edges).union(_end(edges, PARENT)).distinct()
+    nodes = _end(edges, CHILD).union(_end(edges, PARENT)).distinct()
     now = state.keep(nodes.select(*NODE, name.alias("colour")))
     while True:
         offered = (

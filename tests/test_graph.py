@@ -68,6 +68,17 @@ def test_levels_null_on_cycle(spark, sizes):
     assert found == {"A": None, "B": None, "D": None, "E": 1, "F": 0}
 
 
+def test_levels_join_nothing_after_the_rounds(spark, sizes):
+    """Levels and tables are grouped together; names may repeat, NULL names meet nothing."""
+    edges = [("C", "B"), ("C", "B"), ("B", "A"), (None, "A"), ("X", "Y"), ("Y", "X")]
+    frame = spark.createDataFrame([("S", c, "S", p) for c, p in edges], [*graph.CHILD, *graph.PARENT])
+    nodes = spark.createDataFrame([("S", t) for t in ["A", "B", "B", "C", "X", "Z", None, None]], list(graph.NODE))
+    found = graph.fk_levels(frame, nodes)
+    assert sorted((r.table_name or "", r.level) for r in found.collect()) == [
+        ("", 0), ("A", 0), ("B", 1), ("C", 2), ("X", None), ("Z", 0)]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_load_and_truncate_order(spark):
     edges = graph.fk_edges(constraints_of(spark, [("C", "B"), ("B", "A"), ("D", "A")]))
     order = graph.load_order(edges, nodes_of(spark, "ABCD"))
