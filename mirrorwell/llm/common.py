@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -87,6 +88,27 @@ class Scratch:
             remove_path(self.spark, f"{self.folder}/{name}")
 
 
+#: Bytes of rows that Spark hands to Python at once, about, inside :func:`small_batches`.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Inside, what runs hands rows to Python some :data:`BATCH_BYTES` at a time, however
+    wide they are. Otherwise a batch is 10,000 rows, which both Spark and the worker hold
+    more than once."""
+    before = spark.conf.getAll.get(_BATCH_SETTING)
+    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, before)
+
+
 #: Broadcast filters hold at most so many bucket numbers, whatever the input.
 FILTER_BUCKETS = 1 << 18
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mirrorwell.llm.common import Scratch, input_bytes, likely_in
+from mirrorwell.llm.common import Scratch, input_bytes, likely_in, small_batches
 from mirrorwell.llm.graph import components
 from mirrorwell.llm.hashing import mix, runs, signed, window_hashes, word_hashes
 
@@ -39,8 +39,10 @@ BAND_BITS = 6
 #: members of a key compared at once. A bucket is held several times over: by Spark as it is
 #: sorted and handed to Python, and there as keys, their order and what is sent back.
 BUCKET_BYTES = 8 << 20
-HELD_KEYS = 1 << 19
+HELD_KEYS = 1 << 18
 BLOCK = 2000
+#: Bytes of text hashed at once; words, their places and hashes take some 15 times that.
+HASHED_BYTES = 1 << 20
 #: Of the keys a document is compared in, the smallest so many tell which key names a pair. A
 #: pair is always named by the smallest key it shares, by others only if that one is not listed.
 HEAD_KEYS = 16
@@ -91,7 +93,7 @@ def shingle_sets(texts: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]
 
     A text of fewer words has the whole sequence as its one shingle, without words none.
     """
-    for first, last in runs(texts):
+    for first, last in runs(texts, HASHED_BYTES):
         hashes, offsets = word_hashes(texts.slice(first, last - first), lower=True)
         windows = window_hashes(hashes, words)
         for i in range(last - first):
@@ -288,6 +290,11 @@ def near_components(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     in blocks, by sketch. Nothing is capped: every pair that shares a piece is either in
     one component already or compared.
     """
+    with small_batches(docs.sparkSession):
+        return _near_components(docs, words, percent)
+
+
+def _near_components(docs: DataFrame, words: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "near-dup")
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

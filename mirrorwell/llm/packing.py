@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mirrorwell.llm.common import Scratch
+from mirrorwell.llm.common import Scratch, small_batches
 from mirrorwell.llm.hashing import runs
 
 CAPACITY = 1024
@@ -299,7 +299,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, ranks_path: str | None
     scratch = Scratch(docs.sparkSession, "packing")
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = scratch.keep(given.mapInArrow(_piece_rows(tokenizer_path, ranks_path, capacity, with_ids), schema), "pieces")
+    with small_batches(docs.sparkSession):
+        pieces = scratch.keep(given.mapInArrow(_piece_rows(tokenizer_path, ranks_path, capacity, with_ids), schema), "pieces")
     return pack_pieces(pieces, scratch, capacity)
 
 

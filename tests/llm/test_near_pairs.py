@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 
 from mirrorwell.llm import near_dup
+from mirrorwell.llm.common import _BATCH_SETTING, BATCH_BYTES, small_batches
 
 
 def named(key, heads, side=(2, 2, 2), component=(1, 2, 3)):
@@ -71,3 +72,38 @@ def test_met_keys_holds_little_beside_its_bucket():
     assert sorted(out.column("doc_id").to_pylist()) == [3, 3, 3, 7, 7, 7]
     assert sorted(set(out.column("key").to_pylist())) == sorted(keys[7][:3].tolist())
     assert peak < 2 * size
+
+
+def test_sets_of_texts_take_little_beside_them():
+    rng = random.Random(2)
+    texts = pa.array([" ".join(f"w{rng.randrange(10**5)}" for _ in range(500)) for _ in range(1500)])
+    tracemalloc.start()
+    sets = sum(1 for _ in near_dup.shingle_sets(texts, 5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sets == 1500
+    assert peak < 32 << 20
+
+
+def test_python_gets_wide_rows_a_few_at_a_time(spark, monkeypatch):
+    """In the operator too, which leaves the session's setting as it was."""
+    docs = spark.range(0, 3000, 1, 1).selectExpr("id as doc_id", "repeat(concat('w', id, ' '), 2000) as text")
+
+    def largest(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": pa.array([batch.nbytes], pa.int64())})
+
+    seen = []
+    monkeypatch.setattr(near_dup, "_near_components", lambda d, *_: seen.append(
+        d.mapInArrow(largest, "bytes long").agg({"bytes": "max"}).first()[0]))
+    before = spark.conf.getAll.get(_BATCH_SETTING)
+    near_dup.near_components(docs)
+    assert seen[0] < 2 * BATCH_BYTES
+    assert spark.conf.getAll.get(_BATCH_SETTING) == before
+    spark.conf.set(_BATCH_SETTING, "1000000")
+    try:
+        with small_batches(spark):
+            pass
+        assert spark.conf.get(_BATCH_SETTING) == "1000000"
+    finally:
+        spark.conf.unset(_BATCH_SETTING)
