@@ -19,7 +19,6 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,9 +29,10 @@ from mirrorwell.llm.hashing import runs
 #: beyond either it forgets them and begins anew.
 MEMORY_UNITS = 400_000
 MEMORY_IDS = 4_000_000
-#: Texts are split in stretches of about so many characters, and encoded in runs of so many bytes.
+#: Texts are split in stretches of about so many characters, and encoded in runs of so many bytes: what a
+#: run takes beside the memory of units is some 20 times its text.
 STRETCH = 1 << 20
-TEXT_BYTES = 4 << 20
+TEXT_BYTES = 1 << 20
 #: Units normalized by one call, leaves of trees kept in one array, and symbols from which on
 #: a word has a tree of its own.
 CALL_UNITS = 2000
@@ -380,25 +380,6 @@ def _encoded(path: str, text: str, names: list[str]) -> Callable:
     return run
 
 
-def _decoded(path: str, ids: str, names: list[str]) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = pa.array(PairTable(path).tokens, pa.large_string())
-        for batch in batches:
-            lists = batch.column(ids)
-            flat = pc.list_flatten(lists)
-            sizes = pc.fill_null(pc.list_value_length(lists), 0)
-            known = pc.and_(pc.greater_equal(flat, 0), pc.less(flat, len(tokens)))
-            found = tokens.take(pc.if_else(known, flat, pa.scalar(None, flat.type)))
-            # ids that no token has are left out, as are null ones
-            there = pc.is_valid(found)
-            owner = np.repeat(np.arange(len(lists)), np.asarray(sizes))[np.asarray(there)]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(lists)))])
-            words = pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), found.filter(there))
-            texts = pc.binary_join(words, pa.scalar(" ", pa.large_string())).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names[:-1]), texts], names=names)
-    return run
-
-
 def _with(df: DataFrame, name: str, kind: T.DataType) -> tuple[list[str], T.StructType]:
     """Columns of ``df`` but one called ``name``, which comes anew and last."""
     kept = [f for f in df.schema if f.name.lower() != name.lower()]
@@ -424,7 +405,15 @@ def decode_ids(docs: DataFrame, path: str, ids: str = "ids", text: str = "decode
     without a decoder is decoded, special tokens included.
 
     Null ids count as none; a null within them and a number no token has are left out. A column
-    called like ``text`` is replaced, all others stay.
+    called like ``text`` is replaced, all others stay. The file is read once, here; the plan
+    carries its tokens as one constant and rows need no Python.
     """
-    names, schema = _with(docs, text, T.StringType())
-    return docs.mapInArrow(_decoded(path, ids, names), schema)
+    tokens = F.from_json(F.lit(json.dumps(PairTable(path).tokens)), "array<string>")
+    given = F.col(f"`{ids}`")
+    if docs.select(given).schema[0].dataType.elementType == T.LongType():
+        # beyond an int no token has a number
+        given = F.transform(given, lambda i: F.when(i.between(0, (1 << 31) - 1), i).cast("int"))
+    found = F.transform(given, lambda i: F.get(tokens, i))
+    names, _ = _with(docs, text, T.StringType())
+    return docs.select(*(F.col(f"`{n}`") for n in names[:-1]),
+                       F.coalesce(F.array_join(found, " "), F.lit("")).alias(text))

@@ -3,6 +3,7 @@
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -84,6 +85,28 @@ def test_odd_ids(spark):
     assert [r.decoded for r in out] == ["<|endoftext|> !", "", ""]
 
 
+def test_long_ids(spark):
+    """Numbers beyond an int do not come round to a token's, and a column may be called like one of ours."""
+    rows = [(1, [0, (1 << 32) + 1, None, 1, -(1 << 40)], 5)]
+    out = bpe.decode_ids(spark.createDataFrame(rows, "i long, `my.ids` array<long>, Decoded int"), PATH, "my.ids")
+    assert out.columns == ["i", "my.ids", "decoded"]
+    assert out.first().decoded == "! \""
+
+
+def test_decoding_needs_no_python_worker(spark):
+    docs = spark.createDataFrame([(1, [0])], "doc_id long, ids array<int>")
+    plan = bpe.decode_ids(docs, PATH)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "Python" not in plan
+
+
+def test_wide_rows_are_encoded_a_few_at_a_time():
+    texts = pa.array([f"{'so on and on ' * 16_000}{i}" for i in range(40)])
+    batch = pa.RecordBatch.from_arrays([texts], names=["text"])
+    out = list(bpe._encoded(PATH, "text", ["text", "ids"])(iter([batch])))
+    assert sum(len(b) for b in out) == 40
+    assert max(len(b) for b in out) * len(texts[0].as_py()) < 2 << 20
+
+
 def test_query_is_the_library(spark):
     import hashlib
 
