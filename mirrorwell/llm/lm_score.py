@@ -8,7 +8,7 @@ look up whole batches; only pages that are hit are read, and no task loads the m
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from urllib.parse import urlparse
 from uuid import uuid4
 
@@ -17,14 +17,20 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mirrorwell.llm.common import Scratch, input_bytes
+from mirrorwell.llm.common import Scratch, input_bytes, small_batches
 from mirrorwell.llm.hashing import mix, runs, word_hashes
 
-#: Bytes of input behind each bucket, about.
-BUCKET_BYTES = 14 << 20
+#: Bytes of input behind each bucket, as the planner expects them. It takes a text for some 20 bytes wide
+#: beside the other columns of a file, so a bucket may well hold the pairs of three or four times as much.
+BUCKET_BYTES = 4 << 20
 #: A word with more than this share of all tokens, or than a bucket holds, has its pairs spread over all
 #: buckets; there can be no more than 128 of them, or than there are buckets.
 HOT_SHARE = 1 / 128
+#: Bytes of text hashed at once (words, their places and hashes take some 15 times that), tokens counted
+#: together, and bytes of text scored at once.
+HASHED_BYTES = 1 << 20
+COUNTED_TOKENS = 1 << 20
+SCORED_BYTES = 4 << 20
 _U = np.uint64
 _ID_BITS = 48
 END, START = 1, 2  # no word has these numbers
@@ -43,6 +49,27 @@ def word_ids(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return out, np.concatenate([[0], ends])
 
 
+def token_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``word_ids`` of whole texts, some :data:`COUNTED_TOKENS` at a time, however the batches are cut."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        texts = batch.column("text")
+        for first, last in runs(texts, HASHED_BYTES):
+            held.append(word_ids(texts.slice(first, last - first)))
+            if sum(len(ids) for ids, _ in held) >= COUNTED_TOKENS:
+                yield _joined(held)
+    if held:
+        yield _joined(held)
+
+
+def _joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of tokens as one; ``held`` is emptied."""
+    sizes = np.concatenate([np.diff(offsets) for _, offsets in held])
+    ids = np.concatenate([ids for ids, _ in held])
+    held.clear()
+    return ids, np.concatenate([[0], np.cumsum(sizes)])
+
+
 def contexts(ids: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """The token before each one."""
     out = np.empty_like(ids)
@@ -68,10 +95,11 @@ def _split(bucket: np.ndarray, buckets: int, *arrays: np.ndarray) -> Iterator[tu
         yield (int(b), *[a[own] for a in arrays])
 
 
-def _blob_batch(rows: list[tuple]) -> pa.RecordBatch:
+def _blob_batch(rows: Iterable[tuple]) -> pa.RecordBatch:
+    packed = [(bucket, pack_ids(*ids), _pack_counts(counts)) for bucket, *ids, counts in rows]
     return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int32()), pa.array([pack_ids(*r[1:-1]) for r in rows], pa.binary()),
-         pa.array([_pack_counts(r[-1]) for r in rows], pa.binary())], names=["bucket", "ids", "counts"])
+        [pa.array([r[0] for r in packed], pa.int32()), pa.array([r[1] for r in packed], pa.binary()),
+         pa.array([r[2] for r in packed], pa.binary())], names=["bucket", "ids", "counts"])
 
 
 def pack_ids(*ids: np.ndarray) -> bytes:
@@ -102,33 +130,46 @@ def _unpack_counts(data: bytes) -> np.ndarray:
     return out
 
 
+def _unpack_all(table: pa.Table, arrays: int) -> tuple[np.ndarray, ...]:
+    """The ``ids`` and the ``counts`` of all blobs, end to end; one blob at a time is held beside them."""
+    sizes = [len(x.as_buffer()) // (6 * arrays) for x in table.column("ids")]
+    out = [np.empty(sum(sizes), _U) for _ in range(arrays)]
+    counts = np.empty(sum(sizes), np.int64)
+    at = 0
+    for size, ids, told in zip(sizes, table.column("ids"), table.column("counts")):
+        for array, part in zip(out, unpack_ids(ids.as_py(), arrays)):
+            array[at:at + size] = part
+        counts[at:at + size] = _unpack_counts(told.as_py())
+        at += size
+    return *out, counts
+
+
 def _merge(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys in order, the place of the first of each, and the sums of its counts."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
     turn = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
-    return keys[turn], order[turn], np.add.reduceat(counts[order], turn) if len(turn) else counts[:0]
+    counts = counts[order]
+    return keys[turn], order[turn], np.add.reduceat(counts, turn, dtype=np.int64) if len(turn) else counts[:0]
 
 
 def _word_blobs(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in runs(batch.column("text"), 8 << 20):
-                ids, counts = np.unique(word_ids(batch.column("text").slice(a, b - a))[0], return_counts=True)
-                yield _blob_batch(list(_split((ids % _U(buckets)).astype(np.int64), buckets, ids, counts)))
+        for ids, _ in token_runs(batches):
+            ids, counts = np.unique(ids, return_counts=True)
+            yield _blob_batch(_split((ids % _U(buckets)).astype(np.int64), buckets, ids, counts))
     return run
 
 
 def _pair_blobs(buckets: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a, b in runs(batch.column("text"), 8 << 20):
-                ids, offsets = word_ids(batch.column("text").slice(a, b - a))
-                before = contexts(ids, offsets)
-                key, at, counts = np.unique(pair_key(before, ids), return_index=True, return_counts=True)
-                before, ids = before[at], ids[at]
-                bucket = _bucket_of_pairs(before, key, hot, buckets)
-                yield _blob_batch(list(_split(bucket, buckets, before, ids, counts)))
+        for ids, offsets in token_runs(batches):
+            before = contexts(ids, offsets)
+            key, at, counts = np.unique(pair_key(before, ids), return_index=True, return_counts=True)
+            before, ids = before[at], ids[at]
+            del at
+            bucket = _bucket_of_pairs(before, key, hot, buckets)
+            yield _blob_batch(_split(bucket, buckets, before, ids, counts))
     return run
 
 
@@ -156,9 +197,7 @@ def hot_share(buckets: int) -> float:
 def _merge_words(folder: str, share: float):
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        ids = np.concatenate([unpack_ids(x, 1)[0] for x in table.column("ids").to_pylist()])
-        counts = np.concatenate([_unpack_counts(x) for x in table.column("counts").to_pylist()])
-        ids, _, counts = _merge(ids, counts)
+        ids, _, counts = _merge(*_unpack_all(table, 1))
         _write(folder, f"word-{bucket}", ids=ids, counts=narrow(counts))
         top = np.argsort(-counts, kind="stable")[:int(1 / share)]
         return pa.table({"tokens": pa.array([int(counts.sum())]), "types": pa.array([len(ids)]),
@@ -178,21 +217,20 @@ _PAIR_OUT = f"{_BLOB}, hot long, of_counts array<long>"
 def _merge_pairs(folder: str, buckets: int, hot: np.ndarray):
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        both = [unpack_ids(x, 2) for x in table.column("ids").to_pylist()]
-        before, word = (np.concatenate([b[i] for b in both]) for i in (0, 1))
-        counts = np.concatenate([_unpack_counts(x) for x in table.column("counts").to_pylist()])
+        before, word, counts = _unpack_all(table, 2)
         key, at, counts = _merge(pair_key(before, word), counts)
         before, word = before[at], word[at]
         _write(folder, f"pair-{bucket}", keys=key, counts=narrow(counts))
-        context, _, ones = _merge(before, (counts == 1).astype(np.int64))
-        twos = _merge(before, (counts == 2).astype(np.int64))[2]
-        more = _merge(before, (counts >= 3).astype(np.int64))[2]
+        del key, at
+        context, _, kinds = _merge(before, np.stack([counts == 1, counts == 2, counts >= 3], axis=1))
+        ones, twos, more = kinds.T.astype(np.int64)
+        del before
         cold = ~np.isin(context, hot)
         _write(folder, f"context-{bucket}", ids=context[cold],
                kinds=narrow(np.stack([ones, twos, more], axis=1)[cold]))
         # how many contexts each word follows, to be summed up by word
         follows = _merge(word, np.ones(len(word), np.int64))
-        blobs = _blob_batch(list(_split((follows[0] % _U(buckets)).astype(np.int64), buckets, follows[0], follows[2])))
+        blobs = _blob_batch(_split((follows[0] % _U(buckets)).astype(np.int64), buckets, follows[0], follows[2]))
         n, warm = blobs.num_rows, np.flatnonzero(~cold)
         of = [[int(ones[i]), int(twos[i]), int(more[i])] for i in warm]
         rest = pa.RecordBatch.from_arrays(
@@ -210,9 +248,7 @@ def _merge_pairs(folder: str, buckets: int, hot: np.ndarray):
 def _merge_follows(folder: str):
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        ids = np.concatenate([unpack_ids(x, 1)[0] for x in table.column("ids").to_pylist()])
-        counts = np.concatenate([_unpack_counts(x) for x in table.column("counts").to_pylist()])
-        ids, _, counts = _merge(ids, counts)
+        ids, _, counts = _merge(*_unpack_all(table, 1))
         _write(folder, f"follow-{bucket}", ids=ids, counts=narrow(counts))
         return pa.table({"total": pa.array([int(counts.sum())]),
                          "of_counts": pa.array([_of_counts(counts)], pa.list_(pa.int64()))})
@@ -258,17 +294,20 @@ class Lookup:
             self.files[name] = np.load(path, mmap_mode="r") if os.path.exists(path) else None
         return self.files[name]
 
-    def _find(self, kind: str, column: str, wanted: np.ndarray, bucket: np.ndarray,
+    def _homes(self, bucket: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        return list(_split(bucket, self.model.buckets, np.arange(len(bucket))))
+
+    def _find(self, kind: str, column: str, wanted: np.ndarray, homes: list[tuple[int, np.ndarray]],
               keys: str = "ids") -> np.ndarray:
-        """Values of ``wanted`` in the sorted arrays of their buckets, 0 where absent."""
+        """Values of ``wanted``, in order, in the sorted arrays of their buckets; 0 where absent.
+        As they are in order, neighbours share pages."""
         out = None
-        for b, place in _split(bucket, self.model.buckets, np.arange(len(wanted))):
+        for b, place in homes:
             found, values = self._array(f"{kind}-{b}-{keys}"), self._array(f"{kind}-{b}-{column}")
             if found is None or not len(found):
                 continue
             if out is None:
                 out = np.zeros((len(wanted), *values.shape[1:]))
-            place = place[np.argsort(wanted[place])]  # neighbours share pages
             at = np.minimum(np.searchsorted(found, wanted[place]), len(found) - 1)
             hit = found[at] == wanted[place]
             out[place[hit]] = values[at[hit]]
@@ -281,7 +320,7 @@ class Lookup:
         before = contexts(ids, offsets)
         words, spot = np.unique(np.concatenate([ids, before]), return_inverse=True)
         own, prior = spot[:len(ids)], spot[len(ids):]
-        home = (words % _U(m.buckets)).astype(np.int64)
+        home = self._homes((words % _U(m.buckets)).astype(np.int64))
         count = self._find("word", "counts", words, home)
         follow = self._find("follow", "counts", words, home)
         kinds = self._find("context", "kinds", words, home)
@@ -296,7 +335,8 @@ class Lookup:
         seen = kinds.sum(axis=1) > 0
         rest = np.where(seen, kinds @ m.cut[1:] / np.maximum(total, 1), 1.0)
         key, at, back = np.unique(pair_key(before, ids), return_index=True, return_inverse=True)
-        pairs = self._find("pair", "counts", key, _bucket_of_pairs(before[at], key, m.hot_ids, m.buckets), "keys")
+        pairs = self._find("pair", "counts", key, self._homes(_bucket_of_pairs(before[at], key, m.hot_ids, m.buckets)),
+                           "keys")
         pairs = pairs[back]
         high = np.maximum(pairs - m.cut[np.minimum(pairs, 3).astype(int)], 0) / np.maximum(total[prior], 1)
         likely = np.log10(high + rest[prior] * low[own])
@@ -318,6 +358,11 @@ def mounted(folder: str) -> str:
 
 def train(docs: DataFrame) -> Model:
     """Count a model on all ``docs``; null texts are empty ones, just an end token."""
+    with small_batches(docs.sparkSession):
+        return _train(docs)
+
+
+def _train(docs: DataFrame) -> Model:
     scratch = Scratch(docs.sparkSession, "lm")
     folder = mounted(scratch.folder) + "/arrays"
     buckets = max(4, input_bytes(docs) // BUCKET_BYTES)
@@ -356,14 +401,14 @@ def _score_rows(model: Model) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lookup = Lookup(model)
         for batch in batches:
-            texts = batch.column("text")
-            parts = [lookup.score(texts.slice(a, b - a)) for a, b in runs(texts, 8 << 20)]
-            cols = [np.concatenate(c) for c in zip(*parts)] or [np.zeros(0)] * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(cols[0].astype(np.int64)),
-                 pa.array(cols[1].astype(np.int64)), pa.array(np.full(len(batch), model.tokens, np.int64)),
-                 pa.array(cols[2]), pa.array(cols[3])],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+            for first, last in runs(batch.column("text"), SCORED_BYTES):
+                part = batch.slice(first, last - first)
+                tokens, known, base, score = lookup.score(part.column("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("held_out"), pa.array(tokens.astype(np.int64)),
+                     pa.array(known.astype(np.int64)), pa.array(np.full(len(part), model.tokens, np.int64)),
+                     pa.array(base), pa.array(score)],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
     return run
 
 
@@ -379,12 +424,15 @@ def score_texts(docs: DataFrame, model: Model, is_held_out: Column | None = None
     (base) and under the model.
 
     A null or empty text is its end token alone. Repeated rows score alike, a null doc_id
-    stays null, other columns are not read, an empty table gives an empty table.
+    stays null, other columns are not read, an empty table gives an empty table. The scores,
+    a few numbers a text, are written to the shared folder.
     """
     given = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         (held_out() if is_held_out is None else is_held_out).alias("held_out"),
         F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(
+    scores = given.mapInArrow(
         _score_rows(model), "doc_id long, held_out boolean, n_tokens long, n_known long, "
         "train_tokens long, base_score double, score double")
+    with small_batches(docs.sparkSession):
+        return Scratch(docs.sparkSession, "lm-scores").keep(scores, "scores")
